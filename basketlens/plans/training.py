@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from basketlens.operators import models, prep
 from basketlens.operators.churn import CATEGORICAL_FEATURES, LEGACY_FEATURES, TARGET
@@ -32,45 +30,44 @@ class Trained:
         return registry.log_run(experiment, run_name, self.params, self.metrics, self.model)
 
 
+def _cut(df: DataFrame) -> DataFrame:
+    """Checkpoint in the shared folder. Fitting runs many jobs over the same rows:
+    they start from stored rows, not from the plan that made them, also when an
+    executor is lost."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def _evaluated(model: PipelineModel, test: DataFrame, params: dict[str, object]) -> Trained:
-    """Metrics are read out once (seven numbers), so that using them does not score again."""
-    found = metric_rows(models.score(model, test), TARGET, "churn_probability").collect()
+    """Score the held-out rows once and read the metrics out (seven numbers)."""
+    scored = _cut(models.score(model, test).select(TARGET, "churn_probability"))
+    found = metric_rows(scored, TARGET, "churn_probability").collect()
     metrics = test.sparkSession.createDataFrame(found, "metric string, value double")
     return Trained(model, params, metrics, test)
 
 
 def train_baseline(train_set: DataFrame, seed: int = 42) -> Trained:
     """Balanced logistic regression on a stratified 80/20 split."""
-    split = prep.stratified_split(train_set, TARGET, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    train = prep.with_balanced_weight(split.filter("not is_test"), TARGET, WEIGHT)
-    rows = train.count()
-    fitted = models.baseline_pipeline(rows).fit(train)
-    out = _evaluated(fitted, split.filter("is_test").drop("is_test"),
-                     {"model": "LogisticRegression", "class_weight": "balanced", "max_iter": 1000})
-    split.unpersist()
-    return out
+    split = _cut(prep.stratified_split(train_set, TARGET, seed=seed))
+    train = _cut(prep.with_balanced_weight(split.filter("not is_test"), TARGET, WEIGHT))
+    fitted = models.baseline_pipeline(train.count()).fit(train)
+    params = {"model": "LogisticRegression", "class_weight": "balanced", "max_iter": 1000}
+    return _evaluated(fitted, split.filter("is_test").drop("is_test"), params)
 
 
 def train_boosted(train_set: DataFrame, params: BoostedParams = BoostedParams(), seed: int = 42) -> Trained:
     """Boosted trees on a stratified 80/20 split."""
-    shared_dir(train_set.sparkSession)  # tree fitting cuts its lineage there
-    split = prep.stratified_split(train_set, TARGET, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
+    split = _cut(prep.stratified_split(train_set, TARGET, seed=seed))
     train = models.with_positive_weight(split.filter("not is_test"), params.positive_weight)
     levels = prep.category_levels(train, CATEGORICAL_FEATURES)
     fitted = models.boosted_pipeline(levels, params).fit(train)
-    out = _evaluated(fitted, split.filter("is_test").drop("is_test"), asdict(params))
-    split.unpersist()
-    return out
+    return _evaluated(fitted, split.filter("is_test").drop("is_test"), asdict(params))
 
 
 def train_legacy(features: DataFrame, params: BoostedParams = LEGACY_PARAMS, seed: int = 42) -> Trained:
     """First-generation model: unstratified split, oversampled training part, boosted trees."""
-    shared_dir(features.sparkSession)
-    split = prep.plain_split(features, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    train = smote(split.filter("not is_test"), LEGACY_FEATURES, TARGET, seed=seed)
-    train = models.with_positive_weight(train, params.positive_weight).persist(StorageLevel.MEMORY_AND_DISK)
+    split = _cut(prep.plain_split(features, seed=seed))
+    balanced = smote(split.filter("not is_test"), LEGACY_FEATURES, TARGET, seed=seed)
+    train = _cut(models.with_positive_weight(balanced, params.positive_weight))
     fitted = models.legacy_pipeline(params).fit(train)
-    out = _evaluated(fitted, split.filter("is_test").drop("is_test"), asdict(params))
-    train.unpersist()
-    split.unpersist()
-    return out
+    return _evaluated(fitted, split.filter("is_test").drop("is_test"), asdict(params))

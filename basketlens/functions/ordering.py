@@ -55,31 +55,44 @@ def running_totals(
     df: DataFrame,
     order: str,
     totals: dict[str, str],
+    by: Sequence[str] = (),
     descending: bool = False,
     buckets: int = 256,
 ) -> DataFrame:
-    """Add ``totals[new] = sum(old)`` over all rows up to and with the current one.
+    """Add ``totals[new] = sum(old)`` over all rows of the ``by`` group up to and with the current one.
 
-    ``order`` must be a unique double and not NULL (aggregate by it first). The cut
-    points are approximate quantiles of ``order``; they steer the work, not the result.
+    ``order`` must be a double, not NULL and unique in its group (aggregate by it
+    first). The cut points are approximate quantiles of ``order`` over all groups;
+    they steer the work, not the result. Groups should be few: their bucket totals
+    (``buckets`` rows each) are what is joined back.
     """
+    by = list(by)
     cuts = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     way = "DESC" if descending else "ASC"
+    comma = "".join(f"{c}, " for c in by)
     bounds = df.agg(F.expr(f"percentile_approx({order}, array({cuts}), 10000) AS bounds")).scalar()
     marked = (
         df.withColumn("__bounds", bounds)
         .selectExpr("*", f"coalesce(size(filter(__bounds, b -> b < {order})), 0) AS __bucket")
         .drop("__bounds")
     )
-    sums = marked.groupBy("__bucket").agg(*[F.expr(f"sum({old}) AS __t_{new}") for new, old in totals.items()])
-    earlier = f"OVER (PARTITION BY 0 ORDER BY __bucket {way} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    sums = marked.groupBy(*by, "__bucket").agg(*[F.expr(f"sum({old}) AS __t_{new}") for new, old in totals.items()])
+    group = f"PARTITION BY {', '.join(by) if by else '0'}"
+    earlier = f"OVER ({group} ORDER BY __bucket {way} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     offsets = sums.selectExpr(
-        "__bucket AS __g_bucket", *[f"coalesce(sum(__t_{new}) {earlier}, 0) AS __o_{new}" for new in totals]
+        *[f"{c} AS __g_{c}" for c in by],
+        "__bucket AS __g_bucket",
+        *[f"coalesce(sum(__t_{new}) {earlier}, 0) AS __o_{new}" for new in totals],
+    )
+    if not by:
+        offsets = F.broadcast(offsets)  # at most ``buckets`` rows
+    same = " AND ".join(["__bucket = __g_bucket", *[f"{c} <=> __g_{c}" for c in by]])
+    inside = (
+        f"OVER (PARTITION BY {comma}__bucket ORDER BY {order} {way} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     )
-    inside = f"OVER (PARTITION BY __bucket ORDER BY {order} {way} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     return (
         marked.selectExpr("*", *[f"sum({old}) {inside} AS __r_{new}" for new, old in totals.items()])
-        .join(F.broadcast(offsets), F.expr("__bucket = __g_bucket"))  # one row per bucket
+        .join(offsets, F.expr(same))
         .selectExpr(*df.columns, *[f"__r_{new} + __o_{new} AS {new}" for new in totals])
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.ordering import hash_rank
 from basketlens.functions.sql import named, with_stats
-from basketlens.operators.metrics import average_precision
+from basketlens.operators.metrics import ranking_metrics
 from basketlens.operators.models import feature_names, score
 
 
@@ -54,21 +54,15 @@ def permutation_importance(
 ) -> DataFrame:
     """Loss of average precision when one feature at a time is permuted, largest first.
 
-    The permutation is computed once and checkpointed; each feature then costs one scoring pass.
+    Each row is scored once as it is and once per feature with that feature taken
+    from its partner, all in one pass; the metric is then taken per variant.
     """
-    paired = permuted(df.select(key, label, *features), features, key, seed).checkpoint()
-
-    def precision(rows: DataFrame, name: str) -> DataFrame:
-        return average_precision(score(model, rows, "score"), label, "score").select(
-            F.lit(name).alias("feature"), F.col("average_precision")
-        )
-
-    base = precision(paired, "none")
-    out = None
-    for f in features:
-        one = precision(paired.withColumn(f, F.col(f"other_{f}")), f)
-        out = one if out is None else out.unionByName(one)
-    whole = base.select("average_precision").scalar()
-    return out.select("feature", (whole - F.col("average_precision")).alias("importance")).orderBy(
-        F.col("importance").desc_nulls_last(), "feature"
+    paired = permuted(df.select(key, label, *features), features, key, seed)
+    names = ", ".join(f"'{f}'" for f in ("", *features))
+    variants = paired.selectExpr("*", f"explode(array({names})) AS permuted").selectExpr(
+        label, "permuted", *[f"if(permuted = '{f}', other_{f}, {f}) AS {f}" for f in features]
     )
+    by_variant = ranking_metrics(score(model, variants, "score"), label, "score", ["permuted"])
+    whole = "max(CASE WHEN permuted = '' THEN average_precision END) OVER (PARTITION BY 0)"
+    losses = by_variant.selectExpr("permuted AS feature", f"{whole} - average_precision AS importance")
+    return losses.filter("feature != ''").orderBy(F.desc_nulls_last("importance"), "feature")

@@ -7,6 +7,8 @@ one-task sort. A metric that is undefined for a one-class input is NULL.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -43,25 +45,25 @@ def confusion(df: DataFrame, label: str, score: str, threshold: float = 0.5) ->
     )
 
 
-def _score_steps(df: DataFrame, label: str, score: str) -> DataFrame:
+def _score_steps(df: DataFrame, label: str, score: str, by: Sequence[str]) -> DataFrame:
     """Positives and negatives per distinct score, with counts down to that score."""
     steps = (
         df.filter(f"{score} IS NOT NULL AND {label} IS NOT NULL")
-        .selectExpr(f"CAST({score} AS DOUBLE) AS score", f"CAST({label} AS BIGINT) AS y")
-        .groupBy("score")
+        .selectExpr(*by, f"CAST({score} AS DOUBLE) AS score", f"CAST({label} AS BIGINT) AS y")
+        .groupBy(*by, "score")
         .agg(*named(pos="sum(y)", neg="sum(1 - y)"))
     )
-    return running_totals(steps, "score", {"tp": "pos", "fp": "neg"}, descending=True)
+    return running_totals(steps, "score", {"tp": "pos", "fp": "neg"}, by, descending=True)
 
 
-def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """One row: positives, negatives, prevalence, ROC AUC and average precision.
+def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """One row (per ``by`` group): positives, negatives, prevalence, ROC AUC and average precision.
 
     AUC is the chance that a positive outranks a negative, ties counting half.
     Average precision adds precision times gained recall step by step, without
     interpolation; read it beside the prevalence, its value for a random ranker.
     """
-    sums = _score_steps(df, label, score).agg(
+    sums = _score_steps(df, label, score, by).groupBy(*by).agg(
         *named(
             positives="sum(pos)",
             negatives="sum(neg)",
@@ -71,6 +73,7 @@ def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score") -
     )
     pairs_twice = "(2D * CAST(positives AS DOUBLE) * CAST(negatives AS DOUBLE))"
     return sums.selectExpr(
+        *by,
         "positives",
         "negatives",
         f"{ratio('positives', '(positives + negatives)')} AS prevalence",

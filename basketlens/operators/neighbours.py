@@ -174,12 +174,17 @@ def _from_other_cells(placed: DataFrame, local: DataFrame, k: int) -> DataFrame:
     asked = queries.select("site", "vec", "radius", F.explode(cells_in_reach("vec", "cell", "radius")).alias("cell"))
     # A cell that many sites ask is copied, and its queries are dealt out to the copies.
     load = asked.groupBy("cell").agg(*named(parts=f"CAST(ceil(count(1) / {QUERIES_PER_TASK}) AS INT)"))
-    asked = asked.join(load, "cell").selectExpr("*", "pmod(xxhash64(site), parts) AS part")
-    offered = placed.join(load, "cell").selectExpr("*", "explode(sequence(0L, parts - 1L)) AS part")
+    asked = asked.join(load, "cell").selectExpr(
+        "site AS q_site", "vec AS q_vec", "radius", "cell AS q_cell", "pmod(xxhash64(site), parts) AS q_part"
+    )
+    offered = placed.join(load, "cell").selectExpr(
+        "site AS p_site", "vec AS p_vec", "copies", "cell AS p_cell", "explode(sequence(0L, parts - 1L)) AS p_part"
+    )
 
     def answer(query: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
+        query = query.rename(columns={"q_site": "site", "q_vec": "vec"})
+        points = points.rename(columns={"p_site": "site", "p_vec": "vec"})
         return _closest(query, points, k, query["radius"].to_numpy())
 
-    return (
-        asked.groupBy("cell", "part").cogroup(offered.groupBy("cell", "part")).applyInPandas(answer, _FOUND)
-    )
+    questions = asked.groupBy("q_cell", "q_part")
+    return questions.cogroup(offered.groupBy("p_cell", "p_part")).applyInPandas(answer, _FOUND)

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.functions.sql import with_stats
+
 _HEX_DIGITS = 3  # 4096 buckets
 
 
@@ -70,11 +72,17 @@ def running_totals(
     cuts = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     way = "DESC" if descending else "ASC"
     comma = "".join(f"{c}, " for c in by)
-    bounds = df.agg(F.expr(f"percentile_approx({order}, array({cuts}), 10000) AS bounds")).scalar()
+    # The sums are read along only to keep all columns of ``df`` in this branch: the
+    # three branches over ``df`` are then alike and share its last shuffle.
+    whole = df.agg(
+        F.expr(f"percentile_approx({order}, array({cuts}), 10000) AS bounds"),
+        *[F.expr(f"sum({old}) AS {new}") for new, old in totals.items()],
+        *[F.expr(f"max({c}) AS {c}") for c in by],
+    )
     marked = (
-        df.withColumn("__bounds", bounds)
-        .selectExpr("*", f"coalesce(size(filter(__bounds, b -> b < {order})), 0) AS __bucket")
-        .drop("__bounds")
+        with_stats(df, "__whole", whole)
+        .selectExpr("*", f"coalesce(size(filter(__whole.bounds, b -> b < {order})), 0) AS __bucket")
+        .drop("__whole")
     )
     sums = marked.groupBy(*by, "__bucket").agg(*[F.expr(f"sum({old}) AS __t_{new}") for new, old in totals.items()])
     group = f"PARTITION BY {', '.join(by) if by else '0'}"

@@ -9,10 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from basketlens.functions.sql import named, ratio
 from basketlens.functions.ordering import running_totals
@@ -100,22 +97,3 @@ def metric_rows(df: DataFrame, label: str, score: str, threshold: float = 0.5) -
         return one_row.selectExpr(f"stack({len(one_row.columns)}, {pairs}) AS (metric, value)")
 
     return rows(wide).unionByName(rows(ranked))
-
-
-class AveragePrecision(Evaluator):
-    """Step-wise average precision for Spark ML's cross-validation."""
-
-    def __init__(self, label: str = "label", probability: str = "probability"):
-        super().__init__()
-        self.label, self.probability = label, probability
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        scored = dataset.select(
-            F.col(self.label).cast("long").alias("label"),
-            F.element_at(vector_to_array(self.probability), 2).alias("score"),
-        )
-        value = average_precision(scored).first()["average_precision"]
-        return float("nan") if value is None else value
-
-    def isLargerBetter(self) -> bool:
-        return True

@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from dataclasses import dataclass
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from basketlens.functions.sql import named
 from basketlens.operators.churn import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
-from basketlens.operators.metrics import AveragePrecision
-from basketlens.operators.models import BoostedParams, boosted_classifier, tree_features
+from basketlens.operators.metrics import ranking_metrics
+from basketlens.operators.models import BoostedParams, boosted_classifier, score, tree_features
 from basketlens.operators.prep import category_levels, stratified_folds
+from basketlens.session import shared_dir
 
 
 @dataclass(frozen=True)
@@ -48,43 +52,48 @@ class Tuned:
 
 
 def tune_boosted(
-    train: DataFrame, trials: int = 20, folds: int = 3, trees: int = 10, seed: int = 42, parallelism: int = 4,
+    train: DataFrame, trials: int = 20, folds: int = 3, trees: int = 10, seed: int = 42, parallelism: int = 8,
     space: SearchSpace = SearchSpace(), target: str = TARGET, key: str = "user_id",
 ) -> Tuned:
     """Maximize the mean average precision over stratified folds.
 
-    Features are encoded once, before the folds; cross-validation caches each fold
-    and fits several trials at a time. A trial's class weight is a column of its own.
+    Features are encoded once and checkpointed; fits of all trials start from those
+    rows, several at a time. The held-out rows of all fits are then scored and
+    ranked in one job, grouped by trial and fold. A trial whose folds hold one
+    class only has no score and cannot win.
     """
+    spark = train.sparkSession
+    shared_dir(spark)
     rng = random.Random(seed)
     drawn = [space.draw(rng, trees, seed) for _ in range(trials)]
     levels = category_levels(train, CATEGORICAL_FEATURES)
     encode = Pipeline(stages=tree_features(levels, NUMERIC_FEATURES)).fit(train)
-    weights = {f"w_{i}": F.when(F.col(target) == 1, p.positive_weight).otherwise(1.0) for i, p in enumerate(drawn)}
     folded = stratified_folds(encode.transform(train).select(key, target, "features"), target, key, folds, seed)
-    data = folded.withColumns(weights).drop(key)
-
-    classifier = boosted_classifier(drawn[0], target)
-    grid = [
-        {
-            classifier.maxDepth: p.depth, classifier.stepSize: p.rate, classifier.minInfoGain: p.min_info_gain,
-            classifier.weightCol: f"w_{i}",
-        }
-        for i, p in enumerate(drawn)
-    ]
-    search = CrossValidator(
-        estimator=classifier, estimatorParamMaps=grid, evaluator=AveragePrecision(target), numFolds=folds,
-        foldCol="fold", parallelism=parallelism, seed=seed,
-    )
-    fitted: CrossValidatorModel = search.fit(data)
-    rows = [
-        (i, p.trees, p.depth, p.rate, p.min_info_gain, p.positive_weight, float(mean), float(std))
-        for i, (p, mean, std) in enumerate(zip(drawn, fitted.avgMetrics, fitted.stdMetrics))
-    ]
-    table = train.sparkSession.createDataFrame(
-        rows,
-        "trial int, trees int, depth int, rate double, min_info_gain double, positive_weight double, "
-        "mean_average_precision double, std_average_precision double",
+    weights = [f"CASE WHEN {target} = 1 THEN {p.positive_weight}D ELSE 1D END AS w_{i}" for i, p in enumerate(drawn)]
+    data = folded.selectExpr(target, "features", "fold", *weights).checkpoint()
+
+    def fitted(trial: int, rows: DataFrame):
+        return boosted_classifier(drawn[trial], target, f"w_{trial}").fit(rows)
+
+    def held_out(job: tuple[int, int]) -> DataFrame:
+        fold, trial = job
+        model = fitted(trial, data.filter(f"fold != {fold}"))
+        rows = data.filter(f"fold = {fold}").select(target, "features")
+        return score(model, rows, "score").selectExpr(target, "score", f"{trial} AS trial", f"{fold} AS fold")
+
+    with ThreadPool(parallelism) as pool:
+        parts = pool.map(inheritable_thread_target(spark)(held_out), itertools.product(range(folds), range(trials)))
+    ranked = ranking_metrics(reduce(DataFrame.unionByName, parts), target, "score", ["trial", "fold"])
+    schema = "trial int, depth int, rate double, min_info_gain double, positive_weight double"
+    rows = [(i, p.depth, p.rate, p.min_info_gain, p.positive_weight) for i, p in enumerate(drawn)]
+    per_trial = ranked.groupBy("trial").agg(
+        *named(
+            fold_scores="transform(array_sort(collect_list(struct(fold, average_precision))), f -> f.average_precision)",
+            mean_average_precision="avg(average_precision)",
+        )
     )
-    best = max(range(trials), key=lambda i: -math.inf if math.isnan(fitted.avgMetrics[i]) else fitted.avgMetrics[i])
-    return Tuned(drawn[best], fitted.avgMetrics[best], table, PipelineModel([*encode.stages, fitted.bestModel]))
+    found = spark.createDataFrame(rows, schema).join(per_trial, "trial").orderBy("trial").collect()
+    table = spark.createDataFrame(found, f"{schema}, fold_scores array<double>, mean_average_precision double")
+    best = max(found, key=lambda r: -math.inf if r["mean_average_precision"] is None else r["mean_average_precision"])
+    model = PipelineModel([*encode.stages, fitted(best["trial"], data)])
+    return Tuned(drawn[best["trial"]], best["mean_average_precision"], table, model)

@@ -30,7 +30,8 @@ def hash_rank(
 
     The order is a repeatable shuffle: it depends on the key and the seed alone.
     ``size`` names an optional column with the number of rows of the group.
-    Digests are uniform, so buckets are even however large one group is.
+    Digests are uniform, so buckets are even however large one group is. ``df`` is
+    read twice, first for its key and group alone; pass a written table if it is costly.
     """
     by = list(by)
     group = f"PARTITION BY {', '.join(by) if by else '0'}"

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.functions.sql import named
+from basketlens.session import shared_dir
 
 CELL_SITES = 2048
 SAMPLE_PER_CELL = 32
@@ -134,8 +135,10 @@ def nearest_sites(sites: DataFrame, k: int, cell_sites: int = CELL_SITES, seed:
     """Rows (site, vec, other, other_vec, other_copies, distance, rank), rank 1 to k.
 
     Euclidean distance; equal distances rank by site. ``sites`` is read several
-    times, so pass a written or checkpointed table.
+    times, so pass a written or checkpointed table. What the cells find on their
+    own is checkpointed, as both the answer and the questions to other cells use it.
     """
+    shared_dir(sites.sparkSession)
     total = sites.count()
     cells = 1
     while cells * cell_sites < total and cells < MAX_CELLS:
@@ -145,6 +148,7 @@ def nearest_sites(sites: DataFrame, k: int, cell_sites: int = CELL_SITES, seed:
     local = placed.groupBy("cell").applyInPandas(lambda pdf: _closest(pdf, pdf, k), _FOUND)
     found = local
     if cells > 1:
+        local = local.checkpoint()
         found = local.unionByName(_from_other_cells(placed, local, k))
     ranked = found.selectExpr("*", "row_number() OVER (PARTITION BY site ORDER BY distance, other) AS rank")
     return ranked.filter(f"rank <= {k}")
@@ -171,7 +175,8 @@ def _from_other_cells(placed: DataFrame, local: DataFrame, k: int) -> DataFrame:
             out.append([int(c) for c in cell_ids[near] if c != own])
         return pd.Series(out)
 
-    asked = queries.select("site", "vec", "radius", F.explode(cells_in_reach("vec", "cell", "radius")).alias("cell"))
+    reached = F.explode(cells_in_reach("vec", "cell", "radius")).alias("cell")
+    asked = queries.select("site", "vec", "radius", reached).checkpoint()
     # A cell that many sites ask is copied, and its queries are dealt out to the copies.
     load = asked.groupBy("cell").agg(*named(parts=f"CAST(ceil(count(1) / {QUERIES_PER_TASK}) AS INT)"))
     asked = asked.join(load, "cell").selectExpr(

@@ -433,6 +433,11 @@ QUERY_SQL: dict[str, str] = {
     "dq_summary": f"""
     SELECT count(*) AS checks, count(CASE WHEN NOT success THEN 1 END) AS failed_checks, bool_and(success) AS success
     FROM ({_checks_sql(EXPECTATIONS)})""",
+    "smote_balance": """
+    SELECT is_churned, false AS synthetic, count(*) AS rows FROM mart_churn_features GROUP BY 1 UNION ALL
+    SELECT CASE WHEN ones < zeros THEN 1 ELSE 0 END, true, abs(ones - zeros) FROM (
+        SELECT count(CASE WHEN is_churned = 1 THEN 1 END) AS ones, count(CASE WHEN is_churned = 0 THEN 1 END) AS zeros
+        FROM mart_churn_features) WHERE ones != zeros""",
     "exp_assignment": f"""
     SELECT unit_id, {_variant('unit_id', experiments.RAMP_HEALTH_CHECK)} AS health_check_variant, variant AS full_variant
     FROM units""",

@@ -91,6 +91,20 @@ def test_database_layers(spark):
         drop_derived([raw, marts])
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    raw = DatabaseLayer(spark, "bl_bucketed").create()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw.replace_bucketed("orders", spark.range(100).selectExpr("id AS order_id", "id % 7 AS user_id"), "order_id", 4)
+        raw.replace_bucketed("items", spark.range(300).selectExpr("id % 100 AS order_id", "id AS price"), "order_id", 4)
+        joined = raw.read("items").join(raw.read("orders"), "order_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 300
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        raw.drop()
+
+
 def _stub_model(spark, text: str) -> PipelineModel:
     return Pipeline(stages=[SQLTransformer(statement=f"SELECT *, '{text}' AS said FROM __THIS__")]).fit(spark.range(1))
 

@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.functions.sql import with_stats
-
 _HEX_DIGITS = 3  # 4096 buckets
 
 
@@ -73,29 +71,25 @@ def running_totals(
     cuts = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     way = "DESC" if descending else "ASC"
     comma = "".join(f"{c}, " for c in by)
-    # The sums are read along only to keep all columns of ``df`` in this branch: the
-    # three branches over ``df`` are then alike and share its last shuffle.
-    whole = df.agg(
-        F.expr(f"percentile_approx({order}, array({cuts}), 10000) AS bounds"),
-        *[F.expr(f"sum({old}) AS {new}") for new, old in totals.items()],
-        *[F.expr(f"max({c}) AS {c}") for c in by],
-    )
+    bounds = df.agg(F.expr(f"percentile_approx({order}, array({cuts}), 10000) AS bounds")).scalar()
     marked = (
-        with_stats(df, "__whole", whole)
-        .selectExpr("*", f"coalesce(size(filter(__whole.bounds, b -> b < {order})), 0) AS __bucket")
-        .drop("__whole")
+        df.withColumn("__bounds", bounds)
+        .selectExpr("*", f"coalesce(size(filter(__bounds, b -> b < {order})), 0) AS __bucket")
+        .drop("__bounds")
     )
     sums = marked.groupBy(*by, "__bucket").agg(*[F.expr(f"sum({old}) AS __t_{new}") for new, old in totals.items()])
     group = f"PARTITION BY {', '.join(by) if by else '0'}"
     earlier = f"OVER ({group} ORDER BY __bucket {way} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     offsets = sums.selectExpr(
-        *[f"{c} AS __g_{c}" for c in by],
+        *[f"{c} AS __g_{c.lstrip('_')}" for c in by],
         "__bucket AS __g_bucket",
         *[f"coalesce(sum(__t_{new}) {earlier}, 0) AS __o_{new}" for new in totals],
     )
     if not by:
         offsets = F.broadcast(offsets)  # at most ``buckets`` rows
-    same = " AND ".join(["__bucket = __g_bucket", *[f"{c} <=> __g_{c}" for c in by]])
+    # Null-safe, though never NULL: from a plain equality the optimizer would infer the
+    # bucket's own expression for the other side, which does not have ``order``.
+    same = " AND ".join(f"{c} <=> __g_{c.lstrip('_')}" for c in ["__bucket", *by])
     inside = (
         f"OVER (PARTITION BY {comma}__bucket ORDER BY {order} {way} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     )

@@ -24,13 +24,12 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.llm.common import append_columns
 
 #: Distinct chunks of text that a worker remembers; beyond it, it starts anew.
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 400_000
 #: What str.split() takes for white space besides: such texts are split by pattern.
 _ONLY_PYTHON_SPACE = regex.compile("[\x1c-\x1f]")
 #: Unicode's White_Space: the library's \s. Fixed values.
@@ -215,5 +214,12 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", into: str = "decoded"
     return append_columns(tokens, [ids], [(into, T.StringType())], run)
 
 
-def token_counts(tokens: DataFrame, ids: str = "ids") -> F.Column:
-    return (F.length(tokens[ids]) / 4).cast("long")
+def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """encode and decode in one pass of the workers: docs with ``ids`` and ``decoded``."""
+
+    def run(texts):
+        known = vocabulary(path)
+        ids = known.encode(texts)
+        return [pa.array(ids, pa.binary()), pa.array([known.decode(x) for x in ids], pa.string())]
+
+    return append_columns(docs, [text], [("ids", T.BinaryType()), ("decoded", T.StringType())], run)

@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes that a Python worker handles at a time.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
 #: What str.split() takes for white space besides WORD's: the patterns decide there.
 ODD_SPACE = "\x1c\x1d\x1e\x1f\x85\xa0                　"
 _TO_SPACE = bytes.maketrans(b"\t\n\v\f\r", b"     ")

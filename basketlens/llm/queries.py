@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, mixing, token_file
-from basketlens.llm.common import shared_path, table
+from basketlens.llm import bpe, mixing, pii, suffix_array, suffix_tree, token_file, toxicity
+from basketlens.llm.common import crc_fold, shared_path, table
 
 #: Appended to each document in the token file.
 END_ID = 2
@@ -18,9 +18,39 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_tree.deduplicate(table(spark, folder, "documents")).select(
+        "doc_id", F.col("n_units").alias("n_words"), "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_array.deduplicate(table(spark, folder, "documents")).select(
+        "doc_id", F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    held_out = F.coalesce(crc_fold(F.col("doc_id")) == 0, F.lit(False))
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents").select("doc_id", "text"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    return found.select(
+        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.listed("base").cast("binary"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
 def digest_of_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
-    coded = bpe.encode(docs.select("doc_id", "text"), vocabulary).select("doc_id", "ids")
-    return bpe.decode(coded, vocabulary).select(
+    return bpe.round_trip(docs.select("doc_id", "text"), vocabulary).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -44,6 +74,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_pii": op8_pii,
     "op2_bpe": op2_bpe,
     "op4_token_file": op4_token_file,
     "op10_mixing": op10_mixing,

@@ -183,7 +183,8 @@ def mixed_documents(docs: DataFrame, max_epochs: int = MAX_EPOCHS, block_words:
     takes = mix(docs, max_epochs, block_words).where("taken > 0").groupBy("doc_id", "size").agg(F.max("taken").alias("__taken"))
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.withColumn("__size", size)
-    rows = rows.join(takes.withColumnRenamed("size", "__size"), ["doc_id", "__size"])
+    takes = takes.withColumnsRenamed({"doc_id": "__doc", "size": "__words"})
+    rows = rows.join(takes, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__size") == F.col("__words")))
     times = F.ceil(F.col("__taken") / F.col("__size"))
     rows = rows.withColumn("__time", F.explode(F.sequence(F.lit(1).cast("long"), times)))
     rest = (F.col("__taken") - (F.col("__time") - 1) * F.col("__size")).cast("int")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, mixing, pii, suffix_array, suffix_tree, token_file, toxicity
+from basketlens.llm import bpe, jaccard, learned_index, mixing, near_vectors, pii, suffix_array, suffix_tree, token_file, toxicity
 from basketlens.llm.common import crc_fold, shared_path, table
 
 #: Appended to each document in the token file.
@@ -30,6 +30,15 @@ def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return learned_index.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op6_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.fit(docs, table(spark, folder, "labels"))
@@ -49,6 +58,10 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def digest_of_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
     return bpe.round_trip(docs.select("doc_id", "text"), vocabulary).select(
         "doc_id",
@@ -75,11 +88,14 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_bpe": op2_bpe,
     "op3_suffix_array_dedup": op3_suffix_array_dedup,
+    "op4_token_file": op4_token_file,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_toxicity": op7_toxicity,
     "op8_pii": op8_pii,
-    "op2_bpe": op2_bpe,
-    "op4_token_file": op4_token_file,
+    "op9_near_vectors": op9_near_vectors,
     "op10_mixing": op10_mixing,
 }
 

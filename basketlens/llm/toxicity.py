@@ -1,15 +1,16 @@
 """Toxicity: a counterfactual-regularised linear classifier over the words of whole texts.
 
-Logistic regression on the presence of words, with an L1 penalty, so that a few hundred
-telling words remain and long texts do not add up noise. Counterfactual penalty: in
+Logistic regression on the presence of words and word stems (first letters), with an L1
+penalty, so that a few hundred telling ones remain and long texts do not add up noise. Counterfactual penalty: in
 every labelled text that names a group, the name is swapped for another of its family,
 and the squared change of the score (as log odds) is added to the loss. What the
 model learns from mere mentions of groups is taken back by that, so neutral mentions
 stay clean.
 
 Fitted on at most TRAIN_ROWS labelled rows (the first by md5 of doc_id, never a row
-whose crc32(doc_id) mod 5 is 0) and at most MAX_WORDS words seen in MIN_ROWS of them;
-both bound what the driver holds. Every text is scored whole.
+whose crc32(doc_id) mod 5 is 0) and at most MAX_WORDS words and stems seen in MIN_ROWS of
+them, those whose share of toxic rows is the least likely by chance; both bound what the
+driver holds. Every text is scored whole.
 
 Rows: null and empty texts get the score of a text without telling words. Several
 labels of one doc_id count as toxic if one is. Without labels of both kinds, the score
@@ -29,11 +30,13 @@ from pyspark.sql import types as T
 from basketlens.llm.common import append_columns, crc_fold, written
 
 TRAIN_ROWS = 20_000
-MAX_WORDS = 60_000
+MAX_WORDS = 6_000
+#: Letters of the stems of longer words.
+STEMS = (4, 5, 6)
 MIN_ROWS = 5
 #: Words in more than this share of the texts are function words.
 MAX_SHARE = 0.15
-L1 = 4e-4
+L1 = 2e-4
 COUNTERFACTUAL = 1.0
 STEPS = 250
 
@@ -58,8 +61,14 @@ _SWAP = {w: family[(i + 1) % len(family)] for family in IDENTITY for i, w in enu
 
 
 def words(text: str | None) -> set[str]:
-    """The distinct runs of letters of a text, lower case."""
-    return set(_LETTERS.findall(text.lower())) if text else set()
+    """The distinct runs of letters of a text, lower case, and their stems (with a hyphen)."""
+    if not text:
+        return set()
+    whole = set(_LETTERS.findall(text.lower()))
+    stems = set()
+    for n in STEMS:
+        stems.update([w[:n] for w in whole if len(w) > n])
+    return whole.union([s + "-" for s in stems])
 
 
 class Model:
@@ -70,7 +79,7 @@ class Model:
 
     def score(self, text: str | None) -> float:
         known = self.weights
-        z = self.intercept + sum(sorted(known[w] for w in words(text) if w in known))
+        z = self.intercept + sum(sorted(known[w] for w in known.keys() & words(text)))
         return float(1.0 / (1.0 + np.exp(-min(max(z, -40.0), 40.0))))
 
 
@@ -93,9 +102,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not n or not 0 < positive < n:
         share = (positive or 0.0) / n if n else 0.0
         return Model({}, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
-    counts = bags.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    counts = counts.where(F.col("n").between(MIN_ROWS, max(MIN_ROWS, int(n * MAX_SHARE))) | F.col("w").isin(list(_SWAP)))
-    vocabulary = sorted(r["w"] for r in counts.orderBy(F.desc("n"), "w").limit(MAX_WORDS).collect())
+    counts = bags.select(F.explode("words").alias("w"), "toxic").groupBy("w").agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
+    counts = counts.where(F.col("n").between(MIN_ROWS, max(MIN_ROWS, int(n * MAX_SHARE))))
+    share = positive / n
+    surprise = F.abs(F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
+    vocabulary = sorted(r["w"] for r in counts.orderBy(F.desc(surprise), "w").limit(MAX_WORDS).collect())
     index = {w: i for i, w in enumerate(vocabulary)}
     for w in list(_SWAP):
         index.setdefault(w, len(index))

@@ -2,8 +2,8 @@
 
 A window without a partition key, or keyed by a class label, puts an unbounded
 group into one task. Both helpers cut the order into buckets, total each bucket,
-and carry the totals of earlier buckets over: only the bucket totals (a number
-of rows fixed by the arguments) are ever windowed or broadcast as a whole.
+and carry the totals of earlier buckets over: only the bucket totals (a number of
+rows that the arguments or the session's partitions fix) are ever windowed as a whole.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_HEX_DIGITS = 3  # 4096 buckets
+BUCKETS_PER_PARTITION = 16
 
 
 def hash_rank(
@@ -28,14 +28,17 @@ def hash_rank(
 
     The order is a repeatable shuffle: it depends on the key and the seed alone.
     ``size`` names an optional column with the number of rows of the group.
-    Digests are uniform, so buckets are even however large one group is. ``df`` is
+    Digests are uniform, so buckets are even however large one group is, and their number
+    follows the session's shuffle partitions (the ranks do not depend on it). ``df`` is
     read twice, first for its key and group alone; pass a written table if it is costly.
     """
     by = list(by)
     group = f"PARTITION BY {', '.join(by) if by else '0'}"
     comma = "".join(f"{c}, " for c in by)
+    buckets = BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    head = "CAST(conv(substring(__digest, 1, 8), 16, 10) AS BIGINT)"
     marked = df.selectExpr("*", f"md5(concat('{seed}-', CAST({key} AS STRING))) AS __digest").selectExpr(
-        "*", f"substring(__digest, 1, {_HEX_DIGITS}) AS __bucket"
+        "*", f"shiftright({head} * {buckets}L, 32) AS __bucket"
     )
     counts = marked.groupBy(*by, "__bucket").agg(F.expr("count(1) AS __n"))
     offsets = counts.selectExpr(

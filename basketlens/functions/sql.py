@@ -102,9 +102,12 @@ def not_in(c: str, values) -> str:
     return f"({c} NOT IN ({listed(values)}))"
 
 
-def exact_sum(price: str, scale: int = 2) -> str:
-    """Sum of money as a double, added in decimal so that row order cannot matter."""
-    return f"CAST(sum(CAST({price} AS DECIMAL(18, {scale}))) AS DOUBLE)"
+def exact_sum(price: str, scale: int = 10) -> str:
+    """Sum of money as stored, as a double: added in decimal so that row order cannot matter.
+
+    ``scale`` decimals are kept, which is more than a stored price has.
+    """
+    return f"CAST(sum(CAST({price} AS DECIMAL(28, {scale}))) AS DOUBLE)"
 
 
 def hash_bucket(salt: str, key: str, buckets: int) -> str:

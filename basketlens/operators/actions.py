@@ -82,6 +82,12 @@ def is_high_risk(probability: str, limit: float = 0.7) -> str:
     return f"({probability} > {limit}D)"
 
 
+def asked_only(requests: DataFrame, features: DataFrame) -> DataFrame:
+    """The features of users that are asked for: scoring then costs what is asked, not what is stored."""
+    asked = requests.select("user_id").filter("user_id IS NOT NULL").distinct()
+    return features.join(asked, "user_id", "left_semi")
+
+
 def answer_requests(requests: DataFrame, scored: DataFrame) -> DataFrame:
     """Answer each request with its user's score; unknown users are ``not_found``.
 

@@ -2,14 +2,16 @@
 
 Equal feature vectors are merged into one *site* with its number of rows first,
 so copies, however many, cost one site. Space is cut into cells at medians of a
-sample; each cell finds neighbours among its own sites, and a site whose k-th
-distance reaches out of its cell asks the other cells in reach. The cuts steer
-the work only: the answer does not depend on them.
+bounded sample; each cell finds neighbours among its own sites, and a site whose
+k-th distance reaches out of its cell asks the other cells in reach, which it finds
+by going down the tree of cuts. Cells beyond a task's share are compared tile by
+tile. The cuts steer the work only: the answer does not depend on them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,9 +24,13 @@ from basketlens.session import shared_dir
 
 CELL_SITES = 2048
 SAMPLE_PER_CELL = 32
-MAX_SAMPLE = 500_000
+# The driver cuts space into at most so many cells, from so many sample rows. Larger tables
+# have larger cells, which are compared in more tiles.
+MAX_CELLS = 16_384
+TILE_SITES = 8192
 QUERIES_PER_TASK = 20_000
-MAX_CELLS = 65_536
+# Rows of the sample that bound the radius of a site whose cell has fewer than k others.
+BOUND_ROWS = 2048
 
 
 # The name of a feature vector: equal vectors, and only they, share it.
@@ -65,28 +71,57 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.array(column.tolist(), dtype=float)
 
 
-def _with_cell(sites: DataFrame, cells: int, seed: int) -> DataFrame:
-    """Add each site's cell. The sample drawn to the driver has a fixed bound."""
-    if cells == 1:
-        return sites.withColumn("cell", F.lit(1))
-    total = sites.count()
-    wanted = min(cells * SAMPLE_PER_CELL, MAX_SAMPLE)
-    rows = sites.select("vec").sample(min(1.0, wanted / max(total, 1)), seed).limit(2 * wanted).toPandas()
-    axis, value = _cuts(_matrix(rows["vec"]), cells)
-
+@dataclass(frozen=True)
+class _Tree:
+    """Median cuts, and some rows of the sample they come from."""
+
+    axis: np.ndarray
+    value: np.ndarray
+    sample: np.ndarray
+
+    @classmethod
+    def of(cls, sites: DataFrame, cells: int, total: int, seed: int) -> _Tree:
+        share = min(1.0, cells * SAMPLE_PER_CELL / max(total, 1))
+        rows = _matrix(sites.select("vec").sample(share, seed).toPandas()["vec"])
+        return cls(*_cuts(rows, cells), rows[:BOUND_ROWS])
+
+    def cell_of(self, points: np.ndarray) -> np.ndarray:
+        node, active = np.ones(len(points), dtype=int), np.ones(len(points), dtype=bool)
+        while active.any():
+            inner = node < len(self.axis)
+            active = inner & (self.axis[np.where(inner, node, 0)] >= 0)
+            at = node[active]
+            node[active] = 2 * at + (points[active, self.axis[at]] > self.value[at])
+        return node
+
+    def in_reach(self, points: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) of all cells that a ball around a row's point can touch."""
+        row, node = np.arange(len(points)), np.ones(len(points), dtype=int)
+        rows, cells = [], []
+        while len(row):
+            inner = node < len(self.axis)
+            inner &= self.axis[np.where(inner, node, 0)] >= 0
+            rows.append(row[~inner])
+            cells.append(node[~inner])
+            row, node = row[inner], node[inner]
+            x, r, cut = points[row, self.axis[node]], radius[row] * (1 + 1e-9), self.value[node]
+            left, right = x - r <= cut, x + r >= cut  # touching counts, so none is lost to rounding
+            row, node = np.concatenate([row[left], row[right]]), np.concatenate([2 * node[left], 2 * node[right] + 1])
+        return np.concatenate(rows or [row]), np.concatenate(cells or [node])
+
+    def bound(self, points: np.ndarray, k: int) -> np.ndarray:
+        """An upper bound of the distance to the k-th other site: that of the k-th other sample row."""
+        if len(self.sample) <= k:
+            return np.full(len(points), np.inf)
+        squared = sum((points[:, d : d + 1] - self.sample[None, :, d]) ** 2 for d in range(points.shape[1]))
+        return np.sqrt(np.partition(squared, k, axis=1)[:, k])
+
+
+def _with_cell(sites: DataFrame, tree: _Tree) -> DataFrame:
     @F.pandas_udf(T.IntegerType())
     def cell_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for vec in batches:
-            points = _matrix(vec)
-            node = np.ones(len(points), dtype=int)
-            active = np.ones(len(points), dtype=bool)
-            while active.any():
-                inner = node < cells
-                active = inner & (axis[np.where(inner, node, 0)] >= 0)
-                at = node[active]
-                right = points[active, axis[at]] > value[at]
-                node[active] = 2 * at + right
-            yield pd.Series(node, dtype="int32")
+            yield pd.Series(tree.cell_of(_matrix(vec)), dtype="int32")
 
     return sites.withColumn("cell", cell_of("vec"))
 
@@ -140,50 +175,35 @@ def nearest_sites(sites: DataFrame, k: int, cell_sites: int = CELL_SITES, seed:
     """
     shared_dir(sites.sparkSession)
     total = sites.count()
-    cells = 1
+    cells = 2
     while cells * cell_sites < total and cells < MAX_CELLS:
         cells *= 2
-    placed = _with_cell(sites, cells, seed)
-
-    local = placed.groupBy("cell").applyInPandas(lambda pdf: _closest(pdf, pdf, k), _FOUND)
-    found = local
-    if cells > 1:
-        local = local.checkpoint()
-        found = local.unionByName(_from_other_cells(placed, local, k))
+    tree = _Tree.of(sites, cells, total, seed)
+    placed = _with_cell(sites, tree).checkpoint()
+    own = placed.selectExpr("site", "vec", "cell", "double('Infinity') AS radius")
+    local = _asked(placed, own, k).checkpoint()
+    found = local.unionByName(_from_other_cells(placed, local, tree, k))
     ranked = found.selectExpr("*", "row_number() OVER (PARTITION BY site ORDER BY distance, other) AS rank")
     return ranked.filter(f"rank <= {k}")
 
 
-def _from_other_cells(placed: DataFrame, local: DataFrame, k: int) -> DataFrame:
-    """Candidates for sites whose k-th local neighbour is not proven to be the k-th overall."""
-    reach = local.groupBy("site").agg(*named(n="count(1)", r="max(distance)"))
-    unproven = f"coalesce(CASE WHEN n >= {k} THEN r END, double('Infinity')) AS radius"
-    queries = placed.join(reach, "site", "left").selectExpr("site", "vec", "cell", unproven)
-
-    # Bounding boxes: one row per cell, at most MAX_CELLS of them.
-    axes = range(len(placed.select("vec").first()["vec"]))
-    low_high = [f"array({', '.join(f'{end}(vec[{d}])' for d in axes)})" for end in ("min", "max")]
-    edges = placed.groupBy("cell").agg(*named(low=low_high[0], high=low_high[1])).toPandas()
-    cell_ids, low, high = edges["cell"].to_numpy(), _matrix(edges["low"]), _matrix(edges["high"])
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def cells_in_reach(vec: pd.Series, cell: pd.Series, radius: pd.Series) -> pd.Series:
-        out = []
-        for v, own, r in zip(_matrix(vec), cell, radius):
-            gap = np.maximum(np.maximum(low - v, v - high), 0.0)
-            near = np.sqrt((gap**2).sum(axis=1)) <= r * (1 + 1e-9)  # never lose one to rounding
-            out.append([int(c) for c in cell_ids[near] if c != own])
-        return pd.Series(out)
-
-    reached = F.explode(cells_in_reach("vec", "cell", "radius")).alias("cell")
-    asked = queries.select("site", "vec", "radius", reached).checkpoint()
-    # A cell that many sites ask is copied, and its queries are dealt out to the copies.
-    load = asked.groupBy("cell").agg(*named(parts=f"CAST(ceil(count(1) / {QUERIES_PER_TASK}) AS INT)"))
-    asked = asked.join(load, "cell").selectExpr(
-        "site AS q_site", "vec AS q_vec", "radius", "cell AS q_cell", "pmod(xxhash64(site), parts) AS q_part"
+def _asked(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The k closest within the radius for each (site, vec, cell, radius), among the sites of that cell.
+
+    A cell with many sites is cut into tiles, a cell that many sites ask is copied, and
+    each pair of a tile and a share of the questions is a group of its own; so a group's
+    size has a bound whatever the cells are like.
+    """
+    shares = asked.groupBy("cell").agg(*named(parts=f"CAST(ceil(count(1) / {QUERIES_PER_TASK}) AS INT)"))
+    tiles = placed.groupBy("cell").agg(*named(tiles=f"CAST(ceil(count(1) / {TILE_SITES}) AS INT)"))
+    load = shares.join(tiles, "cell")
+    questions = asked.join(load, "cell").selectExpr(
+        "site AS q_site", "vec AS q_vec", "radius", "cell AS q_cell", "pmod(xxhash64(site), parts) AS q_part",
+        "explode(sequence(0L, tiles - 1L)) AS q_tile",
     )
     offered = placed.join(load, "cell").selectExpr(
-        "site AS p_site", "vec AS p_vec", "copies", "cell AS p_cell", "explode(sequence(0L, parts - 1L)) AS p_part"
+        "site AS p_site", "vec AS p_vec", "copies", "cell AS p_cell", "pmod(xxhash64('tile', site), tiles) AS p_tile",
+        "explode(sequence(0L, parts - 1L)) AS p_part",
     )
 
     def answer(query: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
@@ -191,5 +211,28 @@ def _from_other_cells(placed: DataFrame, local: DataFrame, k: int) -> DataFrame:
         points = points.rename(columns={"p_site": "site", "p_vec": "vec"})
         return _closest(query, points, k, query["radius"].to_numpy())
 
-    questions = asked.groupBy("q_cell", "q_part")
-    return questions.cogroup(offered.groupBy("p_cell", "p_part")).applyInPandas(answer, _FOUND)
+    meeting = questions.groupBy("q_cell", "q_part", "q_tile").cogroup(offered.groupBy("p_cell", "p_part", "p_tile"))
+    return meeting.applyInPandas(answer, _FOUND)
+
+
+def _from_other_cells(placed: DataFrame, local: DataFrame, tree: _Tree, k: int) -> DataFrame:
+    """Candidates for sites whose k-th local neighbour is not proven to be the k-th overall."""
+    by_distance = local.selectExpr("site", "distance", "row_number() OVER (PARTITION BY site ORDER BY distance) AS rank")
+    reach = by_distance.filter(f"rank = {k}").selectExpr("site", "distance AS radius")
+    queries = placed.join(reach, "site", "left").select("site", "vec", "cell", "radius")
+
+    @F.pandas_udf("struct<radius double, cells array<int>>")
+    def ask(vec: pd.Series, cell: pd.Series, radius: pd.Series) -> pd.DataFrame:
+        points, r = _matrix(vec), radius.to_numpy(dtype=float, copy=True)
+        open_ = np.isnan(r)
+        r[open_] = tree.bound(points[open_], k) if open_.any() else 0.0
+        row, found = tree.in_reach(points, r)
+        other = found != cell.to_numpy()[row]
+        row, found = row[other], found[other]
+        order = np.argsort(row, kind="stable")
+        ends = np.searchsorted(row[order], np.arange(1, len(points)))
+        return pd.DataFrame({"radius": r, "cells": [c.tolist() for c in np.split(found[order], ends)]})
+
+    asked = queries.withColumn("a", ask("vec", "cell", "radius"))
+    asked = asked.select("site", "vec", "a.radius", F.explode("a.cells").alias("cell")).checkpoint()
+    return _asked(placed, asked, k)

@@ -12,6 +12,10 @@ from basketlens.operators.neighbours import SITE, nearest_sites, sites_of
 from basketlens.session import scratch_path
 
 
+#: Copies of each neighbour row that draws are dealt out to.
+SALTS = 8
+
+
 def neighbour_slots(sites: DataFrame, k: int) -> DataFrame:
     """Per site, its ``k`` neighbours as rows (site, slot, other_vec), slots from 0.
 
@@ -43,7 +47,7 @@ def smote(
     the neighbour search reads them repeatedly.
     """
     spark = df.sparkSession
-    counts = {r[target]: r["n"] for r in df.groupBy(target).agg(*named(n="count(1)")).collect()}
+    counts = {r[target]: r["n"] for r in df.groupBy(target).agg(*named(n="count(1)")).limit(3).collect()}
     if len(counts) != 2:
         raise ValueError(f"two classes needed in {target}, found {sorted(counts)}")
     minority = min(sorted(counts), key=counts.get)
@@ -69,7 +73,11 @@ def smote(
         f"pmod(xxhash64({seed}, 'slot', id), {k}L) AS slot",
         f"pmod(xxhash64({seed}, 'step', id), {1 << 53}L) / CAST({1 << 53}L AS DOUBLE) AS step",
     )
-    made = draws.join(base.select("n", "vec", "site"), "n").join(neighbour_slots(sites, k), ["site", "slot"])
+    # a vector that many minority rows share gets many draws: they are dealt out, and its k neighbours copied
+    salts = SALTS
+    slots = neighbour_slots(sites, k).selectExpr("*", f"explode(sequence(0L, {salts - 1}L)) AS salt")
+    drawn = draws.join(base.select("n", "vec", "site"), "n").selectExpr("*", f"pmod(n, {salts}L) AS salt")
+    made = drawn.join(slots, ["site", "slot", "salt"])
     between = [f"vec[{i}] + step * (other_vec[{i}] - vec[{i}]) AS {f}" for i, f in enumerate(features)]
     kind = df.schema[target].dataType.simpleString()
     synthetic = made.selectExpr(*between, f"CAST({minority} AS {kind}) AS {target}", "true AS synthetic")

@@ -8,7 +8,6 @@ engines agree; the operators themselves do not round.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +24,7 @@ from basketlens.sources import readers
 from basketlens.sources.layers import FolderLayer
 from basketlens.sources.registry import ModelRegistry
 from basketlens.sources.starschema import StarSchema
+from basketlens.streaming import requests
 
 TRAIN_SNAPSHOT = "2001-05-20"
 SCORE_SNAPSHOT = "2001-08-02"
@@ -175,7 +175,7 @@ def engagement(spark, sf):
 @query
 def monetary(spark, sf):
     shop = _shop(spark, sf)
-    return churn.monetary(shop.order_items(), shop.orders(), LEGACY_CUTOFF)
+    return rounded(churn.monetary(shop.order_items(), shop.orders(), LEGACY_CUTOFF), "total_spend", digits=6)
 
 
 def _events_until(spark, sf, snapshot) -> DataFrame:
@@ -220,13 +220,14 @@ def churn_scoring(spark, sf):
 
 @query
 def mart_churn_features(spark, sf):
-    return _legacy_features(spark, sf)
+    return rounded(_legacy_features(spark, sf), "monetary", "avg_order_value", digits=6)
 
 
 @query
 def mart_churn_inference(spark, sf):
     shop = _shop(spark, sf)
-    return churn.mart_churn_inference(shop.orders(), shop.order_items())
+    mart = churn.mart_churn_inference(shop.orders(), shop.order_items())
+    return rounded(mart, "monetary", "avg_order_value", digits=6)
 
 
 @query
@@ -369,8 +370,22 @@ def retention_targets(spark, sf):
 def score_requests(spark, sf):
     """A request per order line, asking for the user with the product's number."""
     items = StarSchema(spark, sf).raw("lineitem")
-    requests = items.selectExpr("l_orderkey AS request_id", "l_partkey AS user_id")
-    return actions.answer_requests(requests, _known(_scoring(spark, sf)))
+    asked = items.selectExpr("l_orderkey AS request_id", "l_partkey AS user_id")
+    return actions.answer_requests(asked, _known(actions.asked_only(asked, _scoring(spark, sf))))
+
+
+@query
+def score_stream(spark, sf):
+    """The same requests as a stream of files, answered batch by batch until none is left."""
+    layer = FolderLayer(spark, scratch_path(spark, "stream"))
+    items = StarSchema(spark, sf).raw("lineitem")
+    asked = items.selectExpr("l_orderkey AS request_id", "l_partkey AS user_id")
+    asked.repartition(4).write.json(layer.path("requests"))
+    layer.replace("features", _scoring(spark, sf))
+    stream = requests.read_requests(spark, layer.path("requests"), files_per_trigger=2)
+    running = requests.serve(stream, layer.read("features"), _known, layer.path("answers"), layer.path("state"))
+    running.awaitTermination()
+    return layer.read("answers").drop("batch")
 
 
 @query
@@ -572,17 +587,31 @@ def dq_summary(spark, sf):
 
 
 def _units(spark, sf) -> DataFrame:
-    """Checkout sessions as units, assigned by session id."""
-    units = _sessions(spark, sf).selectExpr(
-        "session_id AS unit_id",
-        "has_add_to_cart AS reached_cart",
-        "has_purchase AS purchased",
-        "CASE WHEN browser = 'Safari' THEN 'Mobile' ELSE 'Desktop' END AS device",
-        "to_date(session_start_at) AS day",
+    """Users as units, one row each, assigned by user id.
+
+    A user purchased if a session did; the device is that of the largest browser name,
+    the day that of the first session.
+    """
+    users = _sessions(spark, sf).filter("user_id IS NOT NULL").groupBy("user_id").agg(
+        *named(
+            reached_cart="max(has_add_to_cart)", purchased="max(has_purchase)",
+            browser="max(browser)", day="to_date(min(session_start_at))",
+        )
+    )
+    units = users.selectExpr(
+        "user_id AS unit_id", "reached_cart", "purchased",
+        "CASE WHEN browser = 'Safari' THEN 'Mobile' ELSE 'Desktop' END AS device", "day",
     )
     return experiments.assign(units, "unit_id", SALT)
 
 
+def _written_units(spark, sf) -> DataFrame:
+    """The units, written once for results that read them more than once."""
+    layer = FolderLayer(spark, scratch_path(spark, "units"))
+    layer.replace("units", _units(spark, sf))
+    return layer.read("units")
+
+
 @query
 def exp_assignment(spark, sf):
     """The same units in both rollout steps."""
@@ -628,16 +657,16 @@ def exp_segments(spark, sf):
     return _read_outs(experiments.proportion_test(counts, by=["device"]))
 
 
-def _guards(spark, sf) -> DataFrame:
+def _guards(spark, sf, units: DataFrame) -> DataFrame:
     shop = StarSchema(spark, sf)
-    timings = shop.page_timings().filter("page = 'cart'").withColumnRenamed("session_id", "unit_id")
-    tickets = shop.support_tickets().withColumnRenamed("session_id", "unit_id")
-    return experiments.guardrails(timings, tickets, _units(spark, sf))
+    timings = shop.page_timings().filter("page = 'cart'").withColumnRenamed("user_id", "unit_id")
+    tickets = shop.support_tickets().withColumnRenamed("user_id", "unit_id")
+    return experiments.guardrails(timings, tickets, units)
 
 
 @query
 def exp_guardrail(spark, sf):
-    return rounded(_guards(spark, sf), "control_latency_ms", "treatment_latency_ms", "latency_change_ms", digits=6)
+    return rounded(_guards(spark, sf, _written_units(spark, sf)), "control_latency_ms", "treatment_latency_ms", "latency_change_ms", digits=6)
 
 
 @query
@@ -657,8 +686,9 @@ def exp_power(spark, sf):
 
 @query
 def exp_decision(spark, sf):
-    primary = experiments.proportion_test(experiments.conversion(_units(spark, sf)))
-    return rounded(experiments.decide(primary, _guards(spark, sf)), "lift", "p_value", digits=8)
+    units = _written_units(spark, sf)
+    primary = experiments.proportion_test(experiments.conversion(units))
+    return rounded(experiments.decide(primary, _guards(spark, sf, units)), "lift", "p_value", digits=8)
 
 
 # --- fitted models (rows only) -------------------------------------------------------------
@@ -675,6 +705,13 @@ def _training_table(spark, sf) -> DataFrame:
     return layer.read("train_set")
 
 
+def _legacy_table(spark, sf) -> DataFrame:
+    """The first-generation features, written once."""
+    layer = FolderLayer(spark, scratch_path(spark, "legacy"))
+    layer.replace("legacy", _legacy_features(spark, sf))
+    return layer.read("legacy")
+
+
 @query
 def train_baseline(spark, sf):
     return training.train_baseline(_training_table(spark, sf)).metrics
@@ -687,7 +724,7 @@ def train_boosted(spark, sf):
 
 @query
 def train_legacy(spark, sf):
-    return training.train_legacy(_legacy_features(spark, sf)).metrics
+    return training.train_legacy(_legacy_table(spark, sf)).metrics
 
 
 @query
@@ -697,13 +734,13 @@ def tune_trials(spark, sf):
 
 @query
 def smote_rows(spark, sf):
-    return smote.smote(_legacy_features(spark, sf), churn.LEGACY_FEATURES, churn.TARGET)
+    return smote.smote(_legacy_table(spark, sf), churn.LEGACY_FEATURES, churn.TARGET)
 
 
 @query
 def smote_balance(spark, sf):
     """Class sizes after oversampling the first-generation features to parity."""
-    rows = smote.smote(_legacy_features(spark, sf), churn.LEGACY_FEATURES, churn.TARGET)
+    rows = smote.smote(_legacy_table(spark, sf), churn.LEGACY_FEATURES, churn.TARGET)
     return rows.groupBy(churn.TARGET, "synthetic").agg(*named(rows="count(1)"))
 
 
@@ -719,7 +756,7 @@ def run_metrics(spark, sf):
 def registry_latest(spark, sf):
     """The second of two registered versions is the latest."""
     registry = _registry(spark)
-    trained = training.train_baseline(_training_table(spark, sf))
+    trained = training.train_boosted(_training_table(spark, sf))
     for _ in range(2):
         registry.register(training.REGISTERED_MODEL, trained.model)
     return registry.latest(training.REGISTERED_MODEL).select("name", "version")
@@ -727,32 +764,30 @@ def registry_latest(spark, sf):
 
 @query
 def score_model(spark, sf):
-    """Batch scoring with the latest registered model."""
+    """Batch scoring with the latest registered boosted model."""
     registry = _registry(spark)
-    registry.register(training.REGISTERED_MODEL, training.train_baseline(_training_table(spark, sf)).model)
+    registry.register(training.REGISTERED_MODEL, training.train_boosted(_training_table(spark, sf)).model)
     return scoring.batch_score(_scoring(spark, sf), registry)
 
 
 @query
 def legacy_predictions(spark, sf):
-    """First-generation predictions with the model of the last run (ten trees; ``train_legacy`` fits them all)."""
+    """First-generation predictions with the model of the last run."""
     shop, registry = _shop(spark, sf), _registry(spark)
-    params = replace(models.LEGACY_PARAMS, trees=10)
-    training.train_legacy(_legacy_features(spark, sf), params).log(registry, training.LEGACY_EXPERIMENT, "legacy")
+    training.train_legacy(_legacy_table(spark, sf)).log(registry, training.LEGACY_EXPERIMENT, "legacy")
     return scoring.legacy_predict(churn.mart_churn_inference(shop.orders(), shop.order_items()), registry)
 
 
 @query
 def explain_permutation(spark, sf):
-    table = _training_table(spark, sf)
-    model = training.train_baseline(table).model
+    """On the held-out rows, which the model has not seen."""
+    trained = training.train_baseline(_training_table(spark, sf))
     return explain.permutation_importance(
-        model, table, [*churn.NUMERIC_FEATURES, *churn.CATEGORICAL_FEATURES], churn.TARGET
+        trained.model, trained.test, [*churn.NUMERIC_FEATURES, *churn.CATEGORICAL_FEATURES], churn.TARGET
     )
 
 
 @query
 def explain_splits(spark, sf):
     table = _training_table(spark, sf)
-    trained = training.train_boosted(table, models.BoostedParams(trees=10))
-    return explain.split_importance(trained.model, table)
+    return explain.split_importance(training.train_boosted(table).model, table)

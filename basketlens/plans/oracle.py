@@ -163,7 +163,7 @@ RELATIONS: dict[str, str] = {
         count(CASE WHEN event_type = 'purchase' THEN 1 END) AS purchase_event_count, count(DISTINCT session_id) AS session_count
     FROM stg_events WHERE created_at < TIMESTAMP '{TRAIN_SNAPSHOT}' GROUP BY 1""",
     "monetary": f"""
-    SELECT i.user_id, CAST(sum(CAST(i.sale_price AS DECIMAL(18, 2))) AS DOUBLE) AS total_spend
+    SELECT i.user_id, sum(i.sale_price) AS total_spend
     FROM stg_order_items i JOIN stg_orders o ON i.order_id = o.order_id
     WHERE o.created_at < TIMESTAMP '{LEGACY_CUTOFF}' AND o.status NOT IN ({_VOID}) GROUP BY 1""",
     "churn_features": _features(TRAIN_SNAPSHOT, "snapshot_date"),
@@ -195,7 +195,7 @@ RELATIONS: dict[str, str] = {
         CAST(c.d - p.first_day AS INT) AS tenure_days
     FROM (SELECT user_id, CAST(min(created_at) AS DATE) first_day, CAST(max(created_at) AS DATE) last_day,
               count(DISTINCT order_id) AS frequency FROM stg_orders WHERE status NOT IN ({_VOID}) GROUP BY 1) p
-    LEFT JOIN (SELECT i.user_id, CAST(sum(CAST(i.sale_price AS DECIMAL(18, 2))) AS DOUBLE) AS total_spend
+    LEFT JOIN (SELECT i.user_id, sum(i.sale_price) AS total_spend
                FROM stg_order_items i JOIN stg_orders o ON i.order_id = o.order_id
                WHERE o.status NOT IN ({_VOID}) GROUP BY 1) m ON p.user_id = m.user_id
     CROSS JOIN (SELECT CAST(max(created_at) AS DATE) AS d FROM stg_orders) c""",
@@ -220,9 +220,10 @@ RELATIONS: dict[str, str] = {
         for side, table in (("reference", "churn_features"), ("current", "churn_scoring")) for f in DRIFT_FEATURES
     ),
     "units": f"""
-    SELECT session_id AS unit_id, has_add_to_cart AS reached_cart, has_purchase AS purchased,
-        CASE WHEN browser = 'Safari' THEN 'Mobile' ELSE 'Desktop' END AS device, CAST(session_start_at AS DATE) AS day,
-        {_variant('session_id', experiments.RAMP_FULL)} AS variant FROM fct_sessions""",
+    SELECT user_id AS unit_id, max(has_add_to_cart) AS reached_cart, max(has_purchase) AS purchased,
+        CASE WHEN max(browser) = 'Safari' THEN 'Mobile' ELSE 'Desktop' END AS device,
+        CAST(min(session_start_at) AS DATE) AS day, {_variant('user_id', experiments.RAMP_FULL)} AS variant
+    FROM fct_sessions WHERE user_id IS NOT NULL GROUP BY user_id""",
     "conversion": """
     SELECT variant, count(DISTINCT unit_id) AS units,
         count(DISTINCT CASE WHEN reached_cart = 1 THEN unit_id END) AS cart_units,
@@ -239,7 +240,7 @@ RELATIONS: dict[str, str] = {
               avg(CASE WHEN variant = 'treatment' AND kind = 'cart' THEN value END) AS treatment_latency_ms,
               count(CASE WHEN variant = 'control' AND event_type = 'error' THEN 1 END) AS control_tickets,
               count(CASE WHEN variant = 'treatment' AND event_type = 'error' THEN 1 END) AS treatment_tickets
-          FROM stream JOIN units ON session_id = unit_id)""",
+          FROM stream JOIN units ON user_id = unit_id)""",
 }
 
 
@@ -325,8 +326,10 @@ QUERY_SQL: dict[str, str] = {
     **{name: f"SELECT * FROM {name}" for name in (
         "stg_users", "stg_products", "stg_orders", "stg_order_items", "stg_events", "fct_sessions", "mart_funnel",
         "user_cohorts", "user_activities", "mart_retention", "active_users", "rfm", "windowed_rfm", "engagement",
-        "monetary", "churn_features", "churn_labels", "churn_scoring", "mart_churn_features", "mart_churn_inference",
-        "train_set", "churn_scores")},
+        "churn_features", "churn_labels", "churn_scoring", "train_set", "churn_scores")},
+    "monetary": "SELECT user_id, round(total_spend, 6) AS total_spend FROM monetary",
+    **{name: f"SELECT * REPLACE (round(monetary, 6) AS monetary, round(avg_order_value, 6) AS avg_order_value) FROM {name}"
+       for name in ("mart_churn_features", "mart_churn_inference")},
     "src_csv_roundtrip": "SELECT * FROM src_users",
     "src_inventory_items": """
     SELECT i.id, i.product_id, i.created_at - INTERVAL 30 DAY AS created_at, i.created_at AS sold_at, p.cost,
@@ -373,12 +376,12 @@ QUERY_SQL: dict[str, str] = {
     "churn_predictions": "SELECT user_id, churn_probability FROM scored",
     "retention_targets": """
     SELECT * FROM churn_scores WHERE recommended_action != 'No Action' ORDER BY expected_uplift_value DESC, user_id LIMIT 500""",
-    "score_requests": """
+    **dict.fromkeys(["score_requests", "score_stream"], """
     SELECT l_partkey AS user_id, l_orderkey AS request_id, CASE WHEN s.user_id IS NULL THEN 'not_found' ELSE 'ok' END AS status,
         churn_probability, churn_probability > 0.7 AS is_high_risk,
         CASE WHEN churn_probability > 0.8 THEN 'Call Customer' WHEN churn_probability < 0.5 THEN 'Retain'
             WHEN churn_probability IS NOT NULL THEN 'Send Coupon' END AS recommended_action
-    FROM lineitem LEFT JOIN scored s ON l_partkey = s.user_id""",
+    FROM lineitem LEFT JOIN scored s ON l_partkey = s.user_id"""),
     "explain_linear_rows": f"""
     SELECT user_id, {', '.join(f'round({c}, 6) AS {c}' for c in KNOWN_WEIGHTS)}
     FROM (SELECT user_id, {_SHARES} FROM churn_scoring)""",
@@ -452,7 +455,7 @@ QUERY_SQL: dict[str, str] = {
         sqrt(var_samp(CASE WHEN variant = 'control' THEN v END) / count(CASE WHEN variant = 'control' THEN v END)
             + var_samp(CASE WHEN variant = 'treatment' THEN v END) / count(CASE WHEN variant = 'treatment' THEN v END)) AS se
     FROM (SELECT {_variant('user_id', experiments.RAMP_FULL)} AS variant, v FROM (
-        SELECT order_id, user_id, CAST(sum(CAST(sale_price AS DECIMAL(18, 2))) AS DOUBLE) AS v
+        SELECT order_id, user_id, sum(sale_price) AS v
         FROM stg_order_items GROUP BY 1, 2))"""),
     "exp_guardrail": """
     SELECT round(control_latency_ms, 6) AS control_latency_ms, round(treatment_latency_ms, 6) AS treatment_latency_ms,

@@ -51,7 +51,8 @@ def train_baseline(train_set: DataFrame, seed: int = 42) -> Trained:
     split = _cut(prep.stratified_split(train_set, TARGET, seed=seed))
     train = _cut(prep.with_balanced_weight(split.filter("not is_test"), TARGET, WEIGHT))
     fitted = models.baseline_pipeline(train.count()).fit(train)
-    params = {"model": "LogisticRegression", "class_weight": "balanced", "max_iter": 1000}
+    last = fitted.stages[-1]
+    params = {"model": type(last).__name__, "weight": last.getWeightCol(), "max_iter": last.getMaxIter(), "reg_param": last.getRegParam()}
     return _evaluated(fitted, split.filter("is_test").drop("is_test"), params)
 
 

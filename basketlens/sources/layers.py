@@ -37,6 +37,10 @@ class FolderLayer:
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.path(table))
 
+    def exists(self, table: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
 
 @dataclass(frozen=True)
 class DatabaseLayer:

@@ -20,13 +20,33 @@ def normalize_header(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower().replace(" ", "_") for c in df.columns])
 
 
-def read_csv_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """One CSV table. Values must fit the declared schema, or the read fails.
+_RECORD = "__record"
 
-    Declared types are matched to the file's columns by normalized header name,
-    so the column order of the file is free. Without a schema all is text.
+
+def read_csv_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool = True
+) -> DataFrame:
+    """One CSV table, without loss. Values must fit the declared schema, or the read fails.
+
+    Quotes inside quoted fields are doubled, and quoted fields may hold commas and line
+    breaks. A row with too few fields ends in NULLs; one with too many fails the read.
+    Empty fields are NULL. Declared types are matched to the file's columns by normalized
+    header name, so the column order of the file is free. Without a schema all is text.
+
+    ``line_breaks`` makes every file one task, as only a whole file tells where its quotes
+    stand. Turn it off for large files that are known to have no line breaks in fields.
     """
-    raw = normalize_header(spark.read.option("header", True).csv(path))
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
+    names = reader.csv(path).columns
+    # A record with another number of fields than the header is kept as text beside its values;
+    # commas outside of quotes tell the short ones from those with too many.
+    wide = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RECORD]])
+    raw = reader.schema(wide).option("columnNameOfCorruptRecord", _RECORD).csv(path)
+    commas = F.length(F.regexp_replace(F.regexp_replace(_RECORD, '"([^"]|"")*+"', ""), "[^,]", ""))
+    surplus = F.coalesce(commas >= len(names), F.lit(False))
+    fits = F.when(~surplus, True).otherwise(F.raise_error(F.lit(f"a row with too many fields in {path}")).cast("boolean"))
+    raw = raw.where(fits).select(*[F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
+    raw = normalize_header(raw)
     if schema is None:
         return raw
     return raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

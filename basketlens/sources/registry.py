@@ -5,7 +5,6 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +31,10 @@ class ModelRegistry:
         return self.layer.spark
 
     def _table(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.layer.read(name)
-        except AnalysisException:
+        """The table, or none of its rows if it was never written; a table that cannot be read is an error."""
+        if not self.layer.exists(name):
             return self.spark.createDataFrame([], schema)
+        return self.layer.read(name)
 
     def versions(self) -> DataFrame:
         return self._table(VERSIONS, "name string, version long, path string, registered_at timestamp")
@@ -48,7 +47,7 @@ class ModelRegistry:
         last = self.latest(name).first()
         version = last["version"] + 1 if last else 1
         path = f"{self.layer.path('models')}/{name}/v={version}"
-        model.write().overwrite().save(path)
+        model.write().save(path)  # a version that is there already is an error
         row = self.spark.createDataFrame([(name, version, path)], "name string, version long, path string")
         self.layer.append(VERSIONS, row.withColumn("registered_at", F.current_timestamp()))
         return version
@@ -70,7 +69,7 @@ class ModelRegistry:
         path = None
         if model is not None:
             path = f"{self.layer.path('models')}/runs/{run_id}"
-            model.write().overwrite().save(path)
+            model.write().save(path)
         run = self.spark.createDataFrame(
             [(run_id, experiment, run_name, path)], "run_id string, experiment string, run_name string, model_path string"
         )

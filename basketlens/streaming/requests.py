@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from basketlens.operators.actions import answer_requests
+from basketlens.operators.actions import answer_requests, asked_only
 from basketlens.operators.models import score
 
 REQUEST_SCHEMA = "request_id long, user_id long"
@@ -20,22 +22,27 @@ def read_requests(spark: SparkSession, folder: str, files_per_trigger: int = 100
 
 
 def answers(requests: DataFrame, features: DataFrame, model: PipelineModel) -> DataFrame:
-    """Score the features and answer the requests; the requests may be a stream or a batch."""
-    return answer_requests(requests, score(model, features))
+    """Answer a batch of requests; only the features of users asked for are scored."""
+    return answer_requests(requests, score(model, asked_only(requests, features)))
 
 
-def serve(requests: DataFrame, scored: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+def serve(
+    requests: DataFrame, features: DataFrame, scoring: Callable[[DataFrame], DataFrame], out: str, checkpoint: str
+) -> StreamingQuery:
     """Answer all requests there are and stop; a later call goes on where this one ended.
 
-    ``scored`` should be a written table: each micro-batch joins to it anew. The
-    join is stream-static and stateless, so late requests need no watermark.
+    Each micro-batch reduces ``features`` (a written table) to the users it asks for,
+    scores those with ``scoring`` and writes its answers to a folder of its own below
+    ``out``: a batch that is repeated after a failure replaces what it wrote before.
     """
+
+    def answer(batch: DataFrame, number: int) -> None:
+        answered = answer_requests(batch, scoring(asked_only(batch, features)))
+        answered.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch={number}")
+
     return (
-        answer_requests(requests, scored)
-        .writeStream.format("parquet")
-        .option("path", out)
+        requests.writeStream.foreachBatch(answer)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )

@@ -18,9 +18,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else value
-    return value
+    """NaN equals NaN, but not NULL."""
+    return "NaN" if isinstance(value, float) and math.isnan(value) else value
 
 
 def _sort_key(row):

@@ -104,3 +104,10 @@ def test_legacy_features(spark):
     latest = {r["user_id"]: r for r in churn.mart_churn_inference(orders, items).collect()}
     assert latest[5]["recency_days"] == 0 and latest[1]["recency_days"] == 30
     assert "is_churned" not in churn.mart_churn_inference(orders, items).columns
+
+
+def test_money_is_summed_as_stored(spark):
+    from basketlens.functions.sql import exact_sum, named
+
+    prices = spark.createDataFrame([(29.995,), (29.995,), (0.004,), (0.004,), (None,)], "price double")
+    assert prices.agg(*named(total=exact_sum("price"))).first()["total"] == 59.998

@@ -108,9 +108,13 @@ def test_batch_scoring_writes_tables(spark, baseline, train_set):
 
 
 def test_stream_answers_equal_batch(spark, baseline, train_set, tmp_path):
-    scored_path = scratch_path(spark, "scored")
-    models.score(baseline.model, train_set).write.parquet(scored_path)
-    scored = spark.read.parquet(scored_path)
+    path = scratch_path(spark, "features")
+    train_set.write.parquet(path)
+    features = spark.read.parquet(path)
+
+    def scoring(df):
+        return models.score(baseline.model, df)
+
     folder, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
     folder.mkdir()
 
@@ -119,12 +123,14 @@ def test_stream_answers_equal_batch(spark, baseline, train_set, tmp_path):
         (folder / name).write_text("\n".join(lines))
 
     put("a.json", range(5))
-    stream.serve(stream.read_requests(spark, str(folder)), scored, out, state).awaitTermination(120)
+    stream.serve(stream.read_requests(spark, str(folder)), features, scoring, out, state).awaitTermination(120)
     put("b.json", [7, 7, 9999])
-    stream.serve(stream.read_requests(spark, str(folder), 1), scored, out, state).awaitTermination(120)
+    stream.serve(stream.read_requests(spark, str(folder), 1), features, scoring, out, state).awaitTermination(120)
     batch = spark.read.schema(stream.REQUEST_SCHEMA).json(str(folder))
-    expected = sorted(map(str, actions.answer_requests(batch, scored).collect()))
-    assert sorted(map(str, spark.read.parquet(out).collect())) == expected
+    expected = sorted(map(str, actions.answer_requests(batch, scoring(features)).collect()))
+    assert sorted(map(str, spark.read.parquet(out).drop("batch").collect())) == expected
     assert len(expected) == 8 and sum("not_found" in r for r in expected) == 1
     direct = stream.answers(batch, train_set, baseline.model)
     assert direct.count() == 8
+    plan = direct._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan, "only users asked for are scored"

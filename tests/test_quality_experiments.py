@@ -103,3 +103,11 @@ def test_decision(spark):
     assert decide(primary(-0.06, 0.003), guard(True)) == "rollback"
     assert decide(primary(0.06, 0.2), guard(True)) == "rollback"
     assert decide(primary(None, None), guard(True)) == "rollback"
+
+
+def test_p_values_of_known_normal_tails(spark):
+    from basketlens.functions.sql import named, two_sided_p
+
+    known = {0.0: 1.0, 1.0: 0.31731050786, 1.959963984540054: 0.05, 2.5758293035489: 0.01, -3.0: 0.00269979606, 5.0: 5.733031e-7}
+    rows = spark.createDataFrame([(z,) for z in known], "z double").select("z", *named(p=two_sided_p("z"))).collect()
+    assert all(abs(r["p"] - known[r["z"]]) <= 3e-7 * known[r["z"]] for r in rows)

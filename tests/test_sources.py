@@ -135,3 +135,38 @@ def test_runs(spark, layer):
 
 def test_shared_dir_follows_the_setting(spark):
     assert shared_dir(spark) == shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_csv_keeps_quotes_line_breaks_and_short_rows(spark, tmp_path):
+    path = tmp_path / "people.csv"
+    path.write_text('Id,Name,City,N\n1,"a ""b"", c",Rome,5\n2,"two\nlines","x,y",6\n3,,"",7\n4,short\n')
+    schema = "n int, id long, name string, city string"
+    rows = readers.read_csv_table(spark, str(path), spark.createDataFrame([], schema).schema).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [
+        (5, 1, 'a "b", c', "Rome"), (6, 2, "two\nlines", "x,y"), (7, 3, None, None), (None, 4, "short", None),
+    ]
+
+
+@pytest.mark.parametrize("surplus", ["9,a,b,1,more", "9,a,b,1,", "9,a,b,1,2,3"])
+def test_csv_row_with_too_many_fields_fails_its_table(spark, layer, tmp_path, surplus):
+    (tmp_path / "bad.csv").write_text(f"id,name,city,n\n1,x,y,2\n{surplus}\n")
+    (tmp_path / "good.csv").write_text("id\n1\n")
+    report = {r["table_name"]: r for r in readers.load_csv_folder(spark, str(tmp_path), layer, {}).collect()}
+    assert report["bad"]["status"] == "failed" and report["bad"]["loaded_rows"] == 0
+    assert report["good"]["status"] == "loaded"
+
+
+def _model(spark):
+    return Pipeline(stages=[SQLTransformer(statement="SELECT * FROM __THIS__")]).fit(spark.range(1))
+
+
+def test_registry_never_overwrites_and_never_restarts(spark, layer):
+    registry = ModelRegistry(layer)
+    assert registry.register("m", _model(spark)) == 1
+    _model(spark).write().save(f"{layer.path('models')}/m/v=2")  # another job's version, not yet in the table
+    with pytest.raises(Exception, match="already exists"):
+        registry.register("m", _model(spark))
+    broken = FolderLayer(spark, scratch_path(spark, "broken"))
+    spark.range(1).selectExpr("cast(id as string)").write.text(broken.path("model_versions"))
+    with pytest.raises(Exception):
+        ModelRegistry(broken).register("m", _model(spark))

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import math
+from pathlib import Path
 
 import duckdb
 from pyspark.sql import DataFrame
 
-TABLES = ["region", "nation", "customer", "part", "orders", "lineitem", "events"]
-
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    for path in sorted(Path(folder).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}{'/*' if path.is_dir() else ''}'")
     return con
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -19,6 +19,7 @@ from basketlens.operators.metrics import ranking_metrics
 from basketlens.operators.models import BoostedParams, boosted_classifier, score, tree_features
 from basketlens.operators.prep import category_levels, stratified_folds
 from basketlens.session import shared_dir
+from basketlens.sources.registry import ModelRegistry
 
 
 @dataclass(frozen=True)
@@ -50,6 +51,13 @@ class Tuned:
     trials: DataFrame
     model: PipelineModel
 
+    def log(self, registry: ModelRegistry, experiment: str) -> str:
+        """The best trial's parameters and score as a run, with its model; returns the run's id."""
+        metrics = self.trials.sparkSession.createDataFrame(
+            [("mean_average_precision", self.best_score)], "metric string, value double"
+        )
+        return registry.log_run(experiment, "tuned", asdict(self.best), metrics, self.model)
+
 
 def tune_boosted(
     train: DataFrame, trials: int = 20, folds: int = 3, trees: int = 10, seed: int = 42, parallelism: int = 8,

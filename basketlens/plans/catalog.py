@@ -712,6 +712,17 @@ def _legacy_table(spark, sf) -> DataFrame:
     return layer.read("legacy")
 
 
+_FITTED: dict[tuple[str, str], training.Trained] = {}
+
+
+def _boosted(spark, sf) -> training.Trained:
+    """The boosted model of a folder of tables, fitted once per application: several results read it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        _FITTED[key] = training.train_boosted(_training_table(spark, sf))
+    return _FITTED[key]
+
+
 @query
 def train_baseline(spark, sf):
     return training.train_baseline(_training_table(spark, sf)).metrics
@@ -719,7 +730,7 @@ def train_baseline(spark, sf):
 
 @query
 def train_boosted(spark, sf):
-    return training.train_boosted(_training_table(spark, sf)).metrics
+    return _boosted(spark, sf).metrics
 
 
 @query
@@ -732,6 +743,14 @@ def tune_trials(spark, sf):
     return tuning.tune_boosted(_training_table(spark, sf)).trials
 
 
+@query
+def tune_best(spark, sf):
+    """The best trial as it was logged: its parameters as text and its score."""
+    registry = _registry(spark)
+    run = tuning.tune_boosted(_training_table(spark, sf)).log(registry, training.EXPERIMENT)
+    return registry.run_values(run).drop("run_id")
+
+
 @query
 def smote_rows(spark, sf):
     return smote.smote(_legacy_table(spark, sf), churn.LEGACY_FEATURES, churn.TARGET)
@@ -756,7 +775,7 @@ def run_metrics(spark, sf):
 def registry_latest(spark, sf):
     """The second of two registered versions is the latest."""
     registry = _registry(spark)
-    trained = training.train_boosted(_training_table(spark, sf))
+    trained = _boosted(spark, sf)
     for _ in range(2):
         registry.register(training.REGISTERED_MODEL, trained.model)
     return registry.latest(training.REGISTERED_MODEL).select("name", "version")
@@ -766,7 +785,7 @@ def registry_latest(spark, sf):
 def score_model(spark, sf):
     """Batch scoring with the latest registered boosted model."""
     registry = _registry(spark)
-    registry.register(training.REGISTERED_MODEL, training.train_boosted(_training_table(spark, sf)).model)
+    registry.register(training.REGISTERED_MODEL, _boosted(spark, sf).model)
     return scoring.batch_score(_scoring(spark, sf), registry)
 
 
@@ -790,4 +809,4 @@ def explain_permutation(spark, sf):
 @query
 def explain_splits(spark, sf):
     table = _training_table(spark, sf)
-    return explain.split_importance(training.train_boosted(table).model, table)
+    return explain.split_importance(_boosted(spark, sf).model, table)

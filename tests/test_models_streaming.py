@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import asdict
 
 import numpy as np
 import pytest
@@ -92,6 +93,29 @@ def test_tuning_ranks_trials(train_set):
     assert len(rows) == 2
     assert tuned.best_score == max(r["mean_average_precision"] for r in rows)
     assert 0 < models.score(tuned.model, train_set).first()["churn_probability"] < 1
+    registry = ModelRegistry(FolderLayer(train_set.sparkSession, scratch_path(train_set.sparkSession, "registry")))
+    values = registry.run_values(tuned.log(registry, "tuning")).collect()
+    assert {r["key"]: r["text"] for r in values if r["kind"] == "param"} == {k: str(v) for k, v in asdict(tuned.best).items()}
+    assert [r["value"] for r in values if r["kind"] == "metric"] == [tuned.best_score]
+
+
+def test_legacy_model_from_training_to_predictions(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(300):
+        recency = int(rng.integers(1, 200))
+        rows.append((i, recency, int(rng.integers(1, 9)), float(rng.random() * 100), float(rng.random() * 50), int(rng.integers(200, 900)),
+                     int(rng.random() < (0.9 if recency > 100 else 0.2))))
+    df = spark.createDataFrame(
+        rows, "user_id long, recency_days int, frequency long, monetary double, avg_order_value double, tenure_days int, is_churned int"
+    )
+    trained = training.train_legacy(df, models.BoostedParams(trees=5, depth=3, rate=0.3))
+    assert {r["metric"]: r["value"] for r in trained.metrics.collect()}["roc_auc"] > 0.7
+    registry = ModelRegistry(FolderLayer(spark, scratch_path(spark, "registry")))
+    trained.log(registry, training.LEGACY_EXPERIMENT, "legacy")
+    out = scoring.legacy_predict(df.drop("is_churned"), registry)
+    assert out.columns == ["user_id", "churn_probability", "prediction_ts"] and out.count() == 300
+    assert out.filter("churn_probability NOT BETWEEN 0 AND 1").count() == 0
 
 
 def test_batch_scoring_writes_tables(spark, baseline, train_set):

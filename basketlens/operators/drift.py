@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from basketlens.functions.sql import named, ratio, with_stats
+from basketlens.session import scratch_path
 
 DRIFT_FEATURES = ["recency_days", "frequency_60d", "total_events", "view_count"]
 RETRAIN_PERCENT = 10.0
@@ -44,14 +45,20 @@ def drift_report(
 
 
 def _value_counts(reference: DataFrame, current: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Rows per (side, feature, value): all that a distribution needs, merged map-side."""
+    """Rows per (side, feature, value): all that a distribution needs, merged map-side.
+
+    Written to the shared folder once, as bounds, spreads and sums each read them.
+    """
 
     def side(df: DataFrame, name: str) -> DataFrame:
         doubles = df.selectExpr(*[f"CAST({f} AS DOUBLE) AS {f}" for f in features])
         return _stacked(doubles, features, "", names="value").selectExpr(f"'{name}' AS side", "feature", "value")
 
     rows = side(reference, "reference").unionByName(side(current, "current"))
-    return rows.filter("value IS NOT NULL").groupBy("side", "feature", "value").agg(*named(n="count(1)"))
+    counts = rows.filter("value IS NOT NULL").groupBy("side", "feature", "value").agg(*named(n="count(1)"))
+    path = scratch_path(reference.sparkSession, "counts")
+    counts.write.parquet(path)
+    return reference.sparkSession.read.schema(counts.schema).parquet(path)
 
 
 def _lookup(df: DataFrame, name: str, stats: DataFrame, *keys: str) -> DataFrame:
@@ -126,9 +133,9 @@ def drift_density(
     return (
         _lookup(counts, "s", spread, "side", "feature")
         .filter("s.h > 0")
-        .selectExpr("feature", "side", "value", "n", "s", f"explode(sequence(0, {points - 1})) AS point")
+        .groupBy("feature", "side", "s")
+        .agg(*named(**{f"k{i}": f"sum(n * exp(-0.5D * pow((s.start + {i} * s.step - value) / s.h, 2D)))" for i in range(points)}))
+        .selectExpr("feature", "side", "s", f"posexplode(array({', '.join(f'k{i}' for i in range(points))})) AS (point, kernel_sum)")
         .selectExpr("*", "s.start + point * s.step AS x", f"s.rows * s.h * {math.sqrt(2 * math.pi)!r}D AS norm")
-        .groupBy("feature", "side", "point", "x", "norm")
-        .agg(*named(kernel_sum="sum(n * exp(-0.5D * pow((x - value) / s.h, 2D)))"))
         .selectExpr("feature", "side", "point", "x", "kernel_sum / norm AS density")
     )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from basketlens.functions.sql import named, not_in, quoted
 
-RESULT_COLUMNS = ["table_name", "column_name", "check_name", "observed", "threshold", "failed_rows", "success"]
+RESULT_COLUMNS = ["table_name", "column_name", "check_name", "observed", "threshold", "failed_rows", "success", "position"]
 
 
 @dataclass(frozen=True)
@@ -98,11 +98,12 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return keys.join(parent.selectExpr(f"{parent_column} AS value"), "value", "left_anti")
 
 
-def _result(table: str, check: Check, observed: str, threshold: object, failed: str, success: str) -> str:
-    """The fields of a result row, for ``stack``."""
+def _result(suite: Suite, check: Check, observed: str, threshold: object, failed: str, success: str) -> str:
+    """The fields of a result row, for ``stack``; its position is that of the check as declared, from 1."""
+    position = next(i for i, c in enumerate(suite.checks, 1) if c is check)
     return (
-        f"{quoted(table)}, {quoted(check.column)}, {quoted(check.name)}, CAST({observed} AS DOUBLE), "
-        f"CAST({threshold} AS DOUBLE), CAST({failed} AS BIGINT), {success}"
+        f"{quoted(suite.table)}, {quoted(check.column)}, {quoted(check.name)}, CAST({observed} AS DOUBLE), "
+        f"CAST({threshold} AS DOUBLE), CAST({failed} AS BIGINT), {success}, {position}"
     )
 
 
@@ -142,16 +143,16 @@ def _one_pass(suite: Suite, checks: list[Check], unique: Unique | None) -> DataF
         )
     results = []
     if unique is not None:
-        results.append(_result(suite.table, unique, "repeated_keys", 0, "repeated_rows", "repeated_keys = 0"))
+        results.append(_result(suite, unique, "repeated_keys", 0, "repeated_rows", "repeated_keys = 0"))
     for i, check in enumerate(checks):
         failed = f"f{i}"
         if isinstance(check, RowCount):
-            results.append(_result(suite.table, check, "n", check.low, "0", f"n BETWEEN {check.low} AND {check.high}"))
+            results.append(_result(suite, check, "n", check.low, "0", f"n BETWEEN {check.low} AND {check.high}"))
         elif isinstance(check, NotNull):
             share = f"coalesce((n - {failed}) / CAST(nullif(n, 0) AS DOUBLE), 1D)"
-            results.append(_result(suite.table, check, share, check.mostly, failed, f"{share} >= {check.mostly}D"))
+            results.append(_result(suite, check, share, check.mostly, failed, f"{share} >= {check.mostly}D"))
         else:
-            results.append(_result(suite.table, check, failed, 0, failed, f"{failed} = 0"))
+            results.append(_result(suite, check, failed, 0, failed, f"{failed} = 0"))
     return _rows(wide, results)
 
 
@@ -161,11 +162,11 @@ def _own_shuffle(suite: Suite, check: Unique | References) -> DataFrame:
     else:
         bad = orphans(suite.df, check.column, check.parent, check.parent_column)
     total = bad.agg(*named(n="coalesce(sum(n), 0)", v="count(1)"))
-    return _rows(total, [_result(suite.table, check, "v", 0, "n", "v = 0")])
+    return _rows(total, [_result(suite, check, "v", 0, "n", "v = 0")])
 
 
 def run_suite(suite: Suite) -> DataFrame:
-    """One result row per check."""
+    """One result row per check; ``position`` gives their order."""
     row_level = [c for c in suite.checks if not isinstance(c, (Unique, References))]
     uniques = [c for c in suite.checks if isinstance(c, Unique)]
     others = [*uniques[1:], *[c for c in suite.checks if isinstance(c, References)]]

@@ -278,10 +278,11 @@ def _hash_order(by: str = "") -> str:
     return f"row_number() OVER ({part}ORDER BY md5('{SEED}-' || user_id), user_id)"
 
 
-def _check_sql(table: str, column: str, kind: str, arg) -> str:
+def _check_sql(table: str, column: str, kind: str, arg, position: int) -> str:
     """One check as a result row."""
     head = f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{kind}' AS check_name, "
-    tail = "CAST({o} AS DOUBLE) AS observed, CAST({t} AS DOUBLE) AS threshold, CAST({f} AS BIGINT) AS failed_rows, {s} AS success"
+    tail = "CAST({o} AS DOUBLE) AS observed, CAST({t} AS DOUBLE) AS threshold, CAST({f} AS BIGINT) AS failed_rows, {s} AS success, "
+    tail += f"{position} AS position"
     if kind == "row_count":
         low, high = arg
         return head + tail.format(o="count(*)", t=low, f=0, s=f"count(*) BETWEEN {low} AND {high}") + f" FROM {table}"
@@ -301,7 +302,12 @@ def _check_sql(table: str, column: str, kind: str, arg) -> str:
 
 
 def _checks_sql(declared) -> str:
-    return " UNION ALL ".join(_check_sql(*c) for c in declared)
+    positions: dict[str, int] = {}
+    parts = []
+    for table, *check in declared:
+        positions[table] = positions.get(table, 0) + 1
+        parts.append(_check_sql(table, *check, positions[table]))
+    return " UNION ALL ".join(parts)
 
 
 def _dummy_columns(table: str) -> str:

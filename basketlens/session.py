@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         root = configured
-    elif spark.sparkContext.master.startswith("local"):
+    elif spark.sparkContext.master.split("[")[0] == "local":
         root = tempfile.mkdtemp(prefix="basketlens-")
         spark.conf.set(CHECKPOINT_DIR, root)
     else:

@@ -30,6 +30,7 @@ def test_suite_results(spark, table):
     assert rows["accepted_values", "v"]["failed_rows"] == 1, "NULL passes"
     assert rows["relationships", "id"]["failed_rows"] == 1, "NULL passes"
     assert rows["unique", "v"]["failed_rows"] == 3
+    assert sorted(r["position"] for r in rows.values()) == list(range(1, len(rows) + 1))
 
 
 def test_empty_table_passes_all_but_the_count(spark, table):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -89,9 +90,40 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: Scratch paths of the stage that runs, and of stages before whose results have been written since.
+_scope: list[str] | None = None
+_finished: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    if _scope is not None:
+        _scope.append(path)
+    return path
+
+
+def stage(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage of a pipeline that writes each stage's result before it starts the next.
+
+    The scratch tables that a stage leaves (its result reads them) are deleted when the
+    next stage starts, and only those.
+    """
+
+    @functools.wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        global _scope
+        while _finished:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_finished.pop())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _scope = []
+        try:
+            return function(spark, docs, folder)
+        finally:
+            _finished.extend(_scope)
+            _scope = None
+
+    return run
 
 
 def written(df: DataFrame) -> DataFrame:

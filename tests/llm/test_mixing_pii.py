@@ -124,6 +124,12 @@ def test_model_adds_spans_and_keeps_base(spark, many):
     found = {r.doc_id: (r.b, r.s) for r in pii.find(docs.drop("n_chars")).select("doc_id", pii.listed("base").alias("b"), pii.listed("spans").alias("s")).collect()}
     assert all(found[i][0] == plain_spans(t) for i, t, _ in rows)
     assert all(set(filter(None, b.split(","))) <= set(s.split(",")) for b, s in found.values())
+    proposed = pii.proposals(docs)
+    selector = pii.fit(proposed.drop("text"))
+    spans = proposed.select(F.explode(F.concat(F.transform("__base", lambda s: s.dropFields("valid")), "__loose")).alias("span"))
+    values = spans.withColumns(pii.features(F.col("span"))).withColumn("f", F.struct(*pii.FEATURES)).withColumn("score", selector.score(F.col("f")))
+    assert values.where("score < 0 or score > 1").count() == 0
+    assert values.where("span.generator = 'base'").agg(F.max("score") - F.min("score")).first()[0] > 0.5
     redacted = {r.doc_id: r for r in pii.redact(docs).collect()}
     assert redacted[5].text == "pay with card [CARD] now" and redacted[5].n_chars == len(redacted[5].text)
     assert redacted[1005].text == many[5 * 4 + 1][1]

@@ -47,8 +47,8 @@ TILE, QUERIES = 4096, 2048
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """The k nearest others of each row."""
     squares, out = (x * x).sum(axis=1), []
-    for s in range(0, len(x), 512):
-        gap = squares[None, :] - 2 * (x[s : s + 512] @ x.T)
+    for s in range(0, len(x), 128):
+        gap = squares[None, :] - 2 * (x[s : s + 128] @ x.T)
         gap[np.arange(len(gap)), np.arange(s, s + len(gap))] = np.inf
         out.append(np.argpartition(gap, k - 1, axis=1)[:, :k])
     return np.concatenate(out)

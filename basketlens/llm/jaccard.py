@@ -5,10 +5,11 @@ case; a shorter text is one shingle. Two sets link when their Jaccard similarity
 least ``percent``. The join is exact on these sets:
 
 1. Of a set of n, at most n // 4 elements (for 75 %) are missing in a partner. So of the
-   smaller half by hash, P, at least a quarter of n must recur; texts in groups name P
-   by fingerprint, buckets count in how many sets each element is, and only sets with
-   enough recurring elements stay in the join (``candidates``). Partners share elements
-   of P, so they share one of their rarest in P: those make the index.
+   smaller half by hash, P, some must recur in the partner's P, how many follows from
+   both sizes (``enough``); texts in groups name P by fingerprint, buckets count in how
+   many P each element is, and only sets with enough recurring elements for their least
+   demanding partner stay in the join (``candidates``). Partners share elements of P, so
+   they share one of their rarest in P: those make the index.
 2. Equal sets are one node. Index elements tie nodes to the least node that has them;
    the components of these ties hold all partners of their nodes.
 3. Per component (or block of a large one) a signature tree: nodes hold the OR of their
@@ -29,6 +30,7 @@ other columns are ignored. Two different shingles are taken for one only if thei
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -75,25 +77,26 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray
     return sets
 
 
-def _missing(n: int, percent: int) -> int:
-    """How many elements of a set of n a partner may lack: n minus the least overlap."""
-    return n - -(-percent * n // 100)
-
-
 def half(n: int) -> int:
     """Size of P."""
     return -(-n // 2)
 
 
+@functools.cache
 def enough(n: int, percent: int) -> int:
-    """How many elements of P recur at least."""
-    return max(1, half(n) - _missing(n, percent))
+    """How many elements the P of a set of n and the P of any partner have in common at least.
+
+    Sets of n and m that link share s or more. P and a partner's P hold the least of
+    these, but for as many as the n - s or m - s others may displace.
+    """
+    m = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
+    s = -(-percent * (n + m) // (100 + percent))
+    return max(1, int(np.minimum(half(n) - (n - s), -(-m // 2) - (m - s)).min()))
 
 
 def indexed(n: int, percent: int) -> int:
     """How many of the rarest elements of P meet one of every partner's."""
-    least = min(enough(m, percent) for m in {n, -(-percent * n // 100)})
-    return half(n) - max(1, least - 1) + 1
+    return half(n) - enough(n, percent) + 1
 
 
 def _key(tokens: np.ndarray) -> bytes:

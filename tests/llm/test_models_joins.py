@@ -132,6 +132,27 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, block):
     assert len(links) > 500
 
 
+def test_jaccard_links_short_texts_and_their_extensions(spark):
+    rng, rows = random.Random(9), []
+    for i in range(120):  # 3 shingles in 4: exactly 75 %, each pair for itself
+        words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(8)]
+        rows += [(2 * i, " ".join(words[:7] if i % 2 else words[1:])), (2 * i + 1, " ".join(words))]
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [(i, 3 + i % 2, i - i % 2) for i in range(240)]
+
+
+def test_least_common_elements_of_halves():
+    rng = np.random.default_rng(5)
+    for n in range(1, 40):
+        for m in range(n, 100 * n // 75 + 1):
+            s = -(-75 * (n + m) // 175)
+            for _ in range(5):
+                every = rng.permutation(n + m - s)
+                a, b = np.sort(every[:n]), np.sort(every[n - s :])
+                both = len(np.intersect1d(a[: jaccard.half(n)], b[: jaccard.half(m)]))
+                assert both >= max(jaccard.enough(n, 75), jaccard.enough(m, 75))
+
+
 def test_tree_links_connect_what_all_links_connect():
     rng = np.random.default_rng(2)
     sets = []

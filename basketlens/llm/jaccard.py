@@ -18,8 +18,10 @@ least ``percent``. The join is exact on these sets:
    verified exactly. Pairs whose sets are already connected are skipped, so a group of
    near copies costs about one verification each, not one per pair.
 4. A component of more than BLOCK nodes is cut into blocks, each with the component's
-   hub. Sets that do not connect to the hub in their block then meet every other block.
-   All others are connected, so no link between components is lost.
+   hub. Sets that do not connect to the hub in their block are dealt into tiles of about
+   BLOCK sets of like size, and so are the others; each pair of tiles that sizes allow to
+   link is a group of its own (``meetings``), but for pairs of tiles that are connected
+   anyway. So no group holds more than two tiles, and no link is lost.
 
 Rows: null texts and texts without words have empty sets and link with nothing; their
 component is their own doc_id. Equal texts are linked. A null doc_id is never the
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -249,14 +252,16 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def spanning_links(sets: list[np.ndarray], first: np.ndarray, percent: int = PERCENT) -> list[tuple[int, int]]:
+def spanning_links(sets: list[np.ndarray], first: np.ndarray, percent: int = PERCENT, side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Verified links that connect whatever the links among the sets connect.
 
     ``first``: labels; sets of one label count as connected already.
+    ``side``: 0 or 1 for each set; links within a side are left out (some may be found).
     """
     n = len(sets)
-    order = np.lexsort((np.array([s[0] for s in sets], np.uint64), np.fromiter(map(len, sets), np.int64, n)))
-    sets = [sets[i] for i in order]
+    side = np.zeros(n, np.int64) if (alone := side is None) else side
+    order = np.lexsort((np.array([s[0] for s in sets], np.uint64), np.fromiter(map(len, sets), np.int64, n), side))
+    sets, side = [sets[i] for i in order], side[order]
     _, parent = np.unique(first[order], return_inverse=True)
     heads: dict[int, int] = {}
     parent = np.array([heads.setdefault(int(p), i) for i, p in enumerate(parent)], np.int64)
@@ -296,6 +301,9 @@ def spanning_links(sets: list[np.ndarray], first: np.ndarray, percent: int = PER
         edges = np.arange(0, n, width)
         lo, hi = np.minimum.reduceat(label, edges), np.maximum.reduceat(label, edges)
         open_pairs = ~((lo[a] == hi[a]) & (lo[b] == hi[b]) & (lo[a] == lo[b]))
+        if not alone:
+            left, right = np.minimum.reduceat(side, edges), np.maximum.reduceat(side, edges)
+            open_pairs &= ~((left[a] == right[a]) & (left[b] == right[b]) & (left[a] == left[b]))
         a, b = a[open_pairs], b[open_pairs]
         keep = tree.possible(level, a, b, percent)
         a, b = a[keep], b[keep]
@@ -322,7 +330,8 @@ def _block_links(percent: int):
         nodes, at = np.unique(nodes, return_index=True)  # the hub may come twice
         tokens = table.column("tokens").to_pylist()
         sets = [np.frombuffer(tokens[i], np.uint64) for i in at.tolist()]
-        links = spanning_links(sets, label[at], percent) if len(sets) > 1 else []
+        side = np.array(table.column("side").to_pylist(), np.int64)[at] if "side" in table.column_names else None
+        links = spanning_links(sets, label[at], percent, side) if len(sets) > 1 else []
         a, b = ([int(nodes[i]) for i in side] for side in (zip(*links) if links else ((), ())))
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -351,15 +360,38 @@ def links_of_nodes(nodes: DataFrame, percent: int) -> DataFrame:
     links = written(grouped.groupBy("place").applyInArrow(_block_links(percent), _LINKS))
     if not large.limit(1).count():
         return links
-    # second round for cut components: who is not connected to the hub meets every block
+    # second round for cut components: who is not connected to the hub meets all others
     joined = components(links).withColumnRenamed("component", "label")
     labelled = large.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
     hub = labelled.where("node = component").select("component", F.col("label").alias("hub_label"))
-    labelled = written(labelled.join(hub, "component"))
-    apart = labelled.where("label <> hub_label").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    own = labelled.where("label = hub_label").withColumn("block", block)
-    meeting = own.unionByName(apart).select(place.alias("place"), "node", "tokens", "label")
-    return links.unionByName(written(meeting.groupBy("place").applyInArrow(_block_links(percent), _LINKS)))
+    inside, across = meetings(labelled.join(hub, "component").withColumn("apart", F.col("label") != F.col("hub_label")), percent)
+    for groups in (inside, across):
+        links = links.unionByName(written(groups.groupBy("place").applyInArrow(_block_links(percent), _LINKS)))
+    return links
+
+
+def meetings(labelled: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """From (component, node, tokens, label, apart): groups in which each node that is apart meets all of its component that sizes allow.
+
+    Nodes lie in tiles of about BLOCK by component, class of size and apart. Partners are
+    of one class or of neighbouring ones. First result: each tile of nodes apart; second:
+    each pair of tiles of which one at least is apart, its nodes with the ``side`` they are of.
+    """
+    width = math.log(100 / percent) + 1e-6  # a little more than the sizes of partners differ
+    key = ["component", "class", "apart"]
+    dealt = labelled.withColumn("class", F.floor(F.log(F.octet_length("tokens") / 8) / width))
+    sizes = dealt.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK).alias("tiles"))
+    dealt = written(dealt.join(sizes, key).withColumn("tile", F.pmod(F.xxhash64("node", F.lit(1)), F.col("tiles"))).drop("tiles"))
+    tiles = written(dealt.groupBy(*key, "tile").agg(F.count("*").alias("n")).drop("n"))
+    place = F.concat_ws(":", "component", "class", "apart", "tile")
+    inside = dealt.where("apart").select(place.alias("place"), "node", "tokens", "label")
+    a = tiles.select("component", F.struct("class", "apart", "tile").alias("x"))
+    b = tiles.select("component", F.struct("class", "apart", "tile").alias("y"))
+    pairs = a.join(b, "component").where("x < y and y.class - x.class <= 1 and (x.apart or y.apart)")
+    pairs = pairs.withColumn("place", F.concat_ws(":", "component", "x.class", "x.apart", "x.tile", "y.class", "y.apart", "y.tile"))
+    sides = F.explode(F.array(*[F.struct(F.col(c).alias("own"), F.lit(side).alias("side")) for side, c in enumerate("xy")]))
+    sides = pairs.select("component", "place", sides.alias("s")).select("component", "place", "s.own.*", "s.side")
+    return inside, dealt.join(sides, [*key, "tile"]).select("place", "node", "tokens", "label", "side")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -153,6 +153,28 @@ def test_least_common_elements_of_halves():
                 assert both >= max(jaccard.enough(n, 75), jaccard.enough(m, 75))
 
 
+def test_jaccard_groups_of_a_large_component_are_bounded(spark, monkeypatch):
+    rng, most, plain = random.Random(3), 3 * 64, jaccard._block_links
+    passage = [f"p{i}" for i in range(40)]  # in every text, which does not link them
+    rows = [(i, " ".join([*passage, *("".join(rng.choices("abcdefgh", k=6)) for _ in range(rng.randint(20, 30)))])) for i in range(500)]
+    rows += [(1000 + i, f"{rows[i][1]} more") for i in range(0, 500, 5)]
+
+    def bounded(percent):
+        inner = plain(percent)
+
+        def run(table):
+            if table.column("place")[0].as_py().startswith("s") or table.num_rows <= most:
+                return inner(table)
+            raise ValueError(f"{table.num_rows} sets in a group")
+
+        return run
+
+    monkeypatch.setattr(jaccard, "BLOCK", 64)
+    monkeypatch.setattr(jaccard, "_block_links", bounded)
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 1000 for i, _ in rows}
+
+
 def test_tree_links_connect_what_all_links_connect():
     rng = np.random.default_rng(2)
     sets = []

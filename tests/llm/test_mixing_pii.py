@@ -136,6 +136,13 @@ def test_model_adds_spans_and_keeps_base(spark, many):
     assert "[IP] and version 305.1.2.3" in redacted[2005].text
 
 
+def test_rare_kinds_go_by_rule(spark):
+    rows = [(1, "tel 202-555-0147 please"), (2, "code 202-555-0147 x"), (3, "card 1-4111111111111111 2"), (4, "card 1-4111111111111112 2"), (5, "write to joe (at) example (dot) com")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.b, r.s) for r in pii.find(docs).select("doc_id", pii.listed("base").alias("b"), pii.listed("spans").alias("s")).collect()}
+    assert got == {1: ("", "phone:4:16"), 2: ("", ""), 3: ("", "card:7:23"), 4: ("", ""), 5: ("", "email:9:35")}
+
+
 def test_hold_out_of_the_least_digests(spark):
     # a sample from very many matches: all digests begin alike
     digests = spark.range(5000).select(F.concat(F.lit("0000"), F.right(F.md5(F.col("id").cast("string")), F.lit(28))).alias("order"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import bpe, jaccard, learned_index, mixing, near_vectors, pii, suffix_array, suffix_tree, token_file, toxicity
+from basketlens.llm import bpe, importance, jaccard, kd_shards, learned_index, mixing, near_vectors, oracle, pii, prefix_trie, suffix_array, suffix_tree, token_file, toxicity
 from basketlens.llm.common import crc_fold, shared_path, table
 
 #: Appended to each document in the token file.
 END_ID = 2
+SHARDS = 8
 
 
 def tokenizer_path() -> str:
@@ -86,6 +87,24 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = kd_shards.listed(table(spark, folder, "documents"), SHARDS)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.nodes_with_ends(table(spark, folder, "conversations")).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
@@ -97,6 +116,9 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_near_vectors": op9_near_vectors,
     "op10_mixing": op10_mixing,
+    "op11_kd_shards": op11_kd_shards,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_importance": op13_importance,
 }
 
 #: The mix in closed form: words of a source are taken in md5 order, whole passes first, then its start.
@@ -127,4 +149,9 @@ SELECT doc_id, size, source_size, target,
 FROM ordered
 """
 
-ORACLE = {"op10_mixing": MIXING_SQL}
+ORACLE = {
+    "op10_mixing": MIXING_SQL,
+    "op11_kd_shards": oracle.KD_SHARDS_SQL,
+    "op12_prefix_trie": oracle.TRIE_SQL,
+    "op13_importance": oracle.IMPORTANCE_SQL,
+}

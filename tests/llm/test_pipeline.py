@@ -57,4 +57,4 @@ def test_stages_bear_null_and_empty_texts(spark):
 def test_registered():
     names = queries()
     assert "pipeline" in names
-    assert [n for n in range(1, 11) if sum(k.startswith(f"op{n}_") for k in names) != 1] == []
+    assert [n for n in range(1, 14) if sum(k.startswith(f"op{n}_") for k in names) != 1] == []

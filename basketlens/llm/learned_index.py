@@ -50,7 +50,7 @@ def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     for s in range(0, len(x), 128):
         gap = squares[None, :] - 2 * (x[s : s + 128] @ x.T)
         gap[np.arange(len(gap)), np.arange(s, s + len(gap))] = np.inf
-        out.append(np.argpartition(gap, k - 1, axis=1)[:, :k])
+        out.append(np.argpartition(gap, k - 1, axis=1)[:, :k].copy())  # a view would keep the whole block
     return np.concatenate(out)
 
 
@@ -252,7 +252,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, key: str = "vec_i
         usual = rows.where(F.size("vector") == length[0]["dims"])
         sample = usual.groupBy("vector").agg(F.min("vec_id").alias("vec_id"))
         sample = sample.orderBy(F.md5(F.col("vec_id").cast("string")), "vec_id").limit(SAMPLE).select("vector")
-        flat = np.array([r["vector"] for r in sample.collect()], np.float64)
+        flat = sample.toArrow().column("vector").combine_chunks().flatten().to_numpy().astype(np.float64)
+        flat = flat.reshape(-1, length[0]["dims"])
         router = fit(flat) if len(flat) else None
     kind = rows.schema["vector"].dataType
     schema = T.StructType(

@@ -3,7 +3,9 @@
 Encoding merges many words at once: the symbols of all new words of a batch stand in
 one flat numpy array; each round looks every adjacent pair up by binary search over
 the sorted pair keys, takes per word the pair of lowest rank, and merges all its
-places. Words that are seen again are taken from a bounded cache of the worker.
+places. A worker remembers the chunks (texts between white space) and the words that it
+saw last, so that a word is merged once, whatever stands beside it; texts are cut, counted
+and put together again as Arrow and numpy arrays.
 
 The result equals that of the tokenizers library (no added special tokens, unused
 truncation and padding): added tokens found in the raw text, NFC, white space, lower
@@ -22,16 +24,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from basketlens.llm.common import append_columns
 
-#: Distinct chunks of text that a worker remembers; beyond it, it starts anew.
+#: Distinct chunks, and distinct words, that a worker remembers; beyond it, the older half goes.
 CACHE_ENTRIES = 400_000
-#: What str.split() takes for white space besides: such texts are split by pattern.
-_ONLY_PYTHON_SPACE = regex.compile("[\x1c-\x1f]")
 #: Unicode's White_Space: the library's \s. Fixed values.
 _WHITE = "\t-\r \x85\xa0  -     　"
 
@@ -45,6 +46,41 @@ def byte_symbols() -> list[str]:
     return [shown[b] for b in range(256)]
 
 
+class Recent:
+    """A mapping that keeps what was asked for last: half of ``entries`` at least, and what one call needs."""
+
+    def __init__(self, entries: int) -> None:
+        self.half, self.young, self.old = entries // 2, {}, {}
+
+    def missing(self, keys: list[str]) -> list[str]:
+        """The keys that are not there; the others are kept."""
+        young, old, out = self.young, self.old, []
+        for key in keys:
+            if key not in young:
+                if (value := old.get(key)) is None:
+                    out.append(key)
+                else:
+                    young[key] = value
+        return out
+
+    def of(self, keys: list[str]) -> list[bytes]:
+        """The values of keys that have been asked for by missing() since the last of()."""
+        out = list(map(self.young.__getitem__, keys))
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+        return out
+
+
+def gathered(values: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of ``values[at]`` one after the other, and where each of them ends."""
+    pool = np.frombuffer(b"".join(values), "<u4")
+    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+    starts, many = np.cumsum(sizes) - sizes, sizes[at]
+    ends = np.cumsum(many)
+    total = int(ends[-1]) if len(ends) else 0
+    return pool[np.repeat(starts[at] - ends + many, many) + np.arange(total)], ends
+
+
 class WordBpe:
     """One vocabulary file, ready for encoding and decoding."""
 
@@ -74,7 +110,8 @@ class WordBpe:
         order = np.argsort(keys, kind="stable")
         self.keys, self.merged, self.rank = keys[order], merged[order], order.astype(np.int64)
         self.by_rank = np.argsort(order, kind="stable")
-        self.cache: dict[str, bytes] = {}
+        self.shown = pa.array(self.tokens)
+        self.known_chunks, self.known_words = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
 
     # -- merging -------------------------------------------------------------------------
 
@@ -137,58 +174,85 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower()
 
-    def learn(self, new: list[str]) -> None:
-        """Put the ids of new chunks (texts between white space) into the cache."""
-        plain = [c for c in new if self.added is None or not self.added.search(c)]
-        tokens = self.marked.findall("\n".join(map(self._lower, plain)) + "\n") if plain else []
-        words = dict.fromkeys(tokens)
-        words.pop("\n", None)
-        flat, bounds = self.merge([w.encode("utf-8", "replace") for w in words])
-        data, at = flat.tobytes(), (bounds * 4).tolist()
-        known = dict(zip(words, [data[i:j] for i, j in zip(at, at[1:])]))
-        known["\n"] = b""
-        parts = list(map(known.__getitem__, tokens))
-        start = 0
-        for chunk in plain:
-            end = tokens.index("\n", start)
-            self.cache[chunk] = parts[start] if end == start + 1 else b"".join(parts[start:end])
-            start = end + 1
-        for chunk in set(new).difference(plain):
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of each of the distinct words."""
+        new = self.known_words.missing(words)
+        if new:
+            flat, bounds = self.merge([w.encode("utf-8", "replace") for w in new])
+            data, at = flat.tobytes(), (bounds * 4).tolist()
+            self.known_words.young.update(zip(new, [data[i:j] for i, j in zip(at, at[1:])]))
+        return self.known_words.of(words)
+
+    def learn(self, plain: list[str]) -> list[bytes]:
+        """Ids of chunks without added tokens."""
+        if not plain:
+            return []
+        tokens = self.marked.findall(self._lower("\n".join(plain)) + "\n")
+        number: dict[str, int] = {"\n": 0}
+        at = np.array([number.setdefault(t, len(number)) for t in tokens])
+        values = [b"", *self.words(list(number)[1:])]
+        flat, ends = gathered(values, at)
+        cuts = np.append(0, ends[at == 0] * 4).tolist()
+        data = flat.tobytes()
+        return [data[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each of the distinct chunks."""
+        new = self.known_chunks.missing(chunks)
+        special = []
+        if self.added is not None and self.added.search("\n".join(new)):
+            special = [c for c in new if self.added.search(c)]
+            new = [c for c in new if not self.added.search(c)]
+        found = dict(zip(new, self.learn(new)))
+        for chunk in special:
             pieces, start = [], 0
             for m in self.added.finditer(chunk):
-                pieces += [self.encode_one(chunk[start : m.start()]), self.special[m.group()].to_bytes(4, "little")]
+                pieces += [*self.learn([chunk[start : m.start()]][: m.start() - start]), self.special[m.group()].to_bytes(4, "little")]
                 start = m.end()
-            self.cache[chunk] = b"".join([*pieces, self.encode_one(chunk[start:])])
-
-    def encode_one(self, chunk: str) -> bytes:
-        if chunk and chunk not in self.cache:
-            self.learn([chunk])
-        return self.cache[chunk] if chunk else b""
-
-    def chunks(self, text: str) -> list[str]:
-        if _ONLY_PYTHON_SPACE.search(text):
-            return [c for c in self.white.split(text) if c]
-        return text.split()
+            found[chunk] = b"".join([*pieces, *self.learn([chunk[start:]][: len(chunk) - start])])
+        self.known_chunks.young.update(found)
+        return self.known_chunks.of(chunks)
+
+    def split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """All chunks of the texts, and where those of each text start (and the last end)."""
+        parts = pc.utf8_split_whitespace(pc.fill_null(texts, ""))
+        flat, bounds = parts.flatten(), parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        odd = pc.match_substring_regex(texts, "[\x1c-\x1f]")
+        if pc.any(odd).as_py():
+            # white space for Arrow and Python, but not for the library: split by pattern
+            rows = [self.white.split(t) if t else [] for t in texts.to_pylist()]
+            flat, bounds = pa.array([c for row in rows for c in row], pa.string()), np.cumsum([0, *map(len, rows)])
+        empty = pc.equal(flat, "")
+        if pc.any(empty).as_py():  # before leading and behind trailing white space
+            keep = np.asarray(pc.invert(empty))
+            flat, bounds = flat.filter(pa.array(keep)), np.append(0, np.cumsum(keep))[bounds]
+        return flat, bounds
+
+    def encode_array(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text as little-endian unsigned 32-bit integers, in one binary a text."""
+        flat, bounds = self.split(texts)
+        coded = flat.dictionary_encode()
+        ids, ends = gathered(self.chunks(coded.dictionary.to_pylist()), coded.indices.to_numpy())
+        offsets = np.append(0, ends)[bounds] * 4
+        kind, width = (pa.binary(), np.int32) if offsets[-1] < 1 << 31 else (pa.large_binary(), np.int64)
+        out = pa.Array.from_buffers(kind, len(texts), [None, pa.py_buffer(offsets.astype(width)), pa.py_buffer(ids.astype("<u4"))])
+        return out.cast(pa.binary())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        rows = [self.chunks(t) if t else [] for t in texts]
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
-        new: set[str] = set()
-        for row in rows:
-            new.update(row)
-        new.difference_update(self.cache.keys())
-        if new:
-            self.learn(list(new))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, row)) for row in rows]
+        """As encode_array, of Python texts."""
+        return self.encode_array(pa.array(texts, pa.string())).to_pylist()
+
+    def decode_array(self, ids: pa.Array) -> pa.Array:
+        """Of each row of ids, the tokens joined by spaces, special ones too."""
+        rows = ids.to_pylist()
+        bounds = np.cumsum([0, *[len(r) // 4 if r else 0 for r in rows]])
+        flat = np.frombuffer(b"".join(r or b"" for r in rows), "<u4")
+        tokens = self.shown.take(pa.array(flat.astype(np.int64)))
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), tokens), " ")
 
     def decode(self, ids: bytes | None) -> str:
         """The tokens joined by spaces, special ones too."""
-        if not ids:
-            return ""
-        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.decode_array(pa.array([ids], pa.binary()))[0].as_py()
 
 
 @lru_cache(maxsize=4)
@@ -199,27 +263,19 @@ def vocabulary(path: str) -> WordBpe:
 
 def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids") -> DataFrame:
     """docs with the column ``into``: ids as little-endian unsigned 32-bit integers, in one binary."""
-    return append_columns(
-        docs, [text], [(into, T.BinaryType())], lambda texts: [vocabulary(path).encode(texts)]
-    )
+    return append_columns(docs, [text], [(into, T.BinaryType())], lambda texts: [vocabulary(path).encode_array(texts)], arrow=True)
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """tokens with the column ``into``: the text that the ids stand for."""
-
-    def run(rows):
-        known = vocabulary(path)
-        return [pa.array([known.decode(x) for x in rows], pa.string())]
-
-    return append_columns(tokens, [ids], [(into, T.StringType())], run)
+    return append_columns(tokens, [ids], [(into, T.StringType())], lambda rows: [vocabulary(path).decode_array(rows)], arrow=True)
 
 
 def round_trip(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """encode and decode in one pass of the workers: docs with ``ids`` and ``decoded``."""
 
     def run(texts):
-        known = vocabulary(path)
-        ids = known.encode(texts)
-        return [pa.array(ids, pa.binary()), pa.array([known.decode(x) for x in ids], pa.string())]
+        ids = vocabulary(path).encode_array(texts)
+        return [ids, vocabulary(path).decode_array(ids)]
 
-    return append_columns(docs, [text], [("ids", T.BinaryType()), ("decoded", T.StringType())], run)
+    return append_columns(docs, [text], [("ids", T.BinaryType()), ("decoded", T.StringType())], run, arrow=True)

@@ -53,11 +53,11 @@ def slices(batch: pa.RecordBatch, column: str | None = None) -> Iterator[pa.Reco
 
 
 def append_columns(
-    df: DataFrame, read: list[str], fields: list[tuple[str, T.DataType]], function: Callable[..., list]
+    df: DataFrame, read: list[str], fields: list[tuple[str, T.DataType]], function: Callable[..., list], arrow: bool = False
 ) -> DataFrame:
     """df with new columns: ``function(*columns as Python lists) -> one list per field``, per run of rows.
 
-    A column of df with the name of a new one is replaced.
+    A column of df with the name of a new one is replaced. ``arrow``: the function takes Arrow arrays.
     """
     names = {name for name, _ in fields}
     kept = [c for c in df.columns if c not in names]
@@ -69,8 +69,8 @@ def append_columns(
     def run(batches):
         for whole in batches:
             for batch in slices(whole):
-                table_in = [batch.column(len(kept) + i).to_pylist() for i in range(len(hidden))]
-                out = function(*table_in)
+                table_in = [batch.column(len(kept) + i) for i in range(len(hidden))]
+                out = function(*(table_in if arrow else [c.to_pylist() for c in table_in]))
                 columns = [batch.column(i) for i in range(len(kept))] + [
                     x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(out, kinds)
                 ]

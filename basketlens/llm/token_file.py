@@ -35,6 +35,8 @@ from basketlens.llm.common import slices
 SEGMENT_IDS = 1 << 21
 #: Set bits between two stored places.
 SAMPLE = 256
+#: Documents whose boundaries are decoded at a time.
+READ_DOCS = 4096
 
 _EF = [("low", T.BinaryType()), ("high", T.BinaryType()), ("places", T.BinaryType()), ("bits", T.IntegerType())]
 SEGMENT = T.StructType(
@@ -91,12 +93,6 @@ class EliasFano:
             n,
         )
 
-    def _low(self, i: np.ndarray) -> np.ndarray:
-        if self.bits == 0:
-            return np.zeros(len(i), np.int64)
-        flags = np.unpackbits(np.frombuffer(self.low, np.uint8), count=self.n * self.bits, bitorder="little")
-        return flags.reshape(self.n, self.bits)[i].astype(np.int64) @ (1 << np.arange(self.bits, dtype=np.int64))
-
     def select(self, i: int) -> int:
         """The i-th value, read from the bits behind the last stored place before it."""
         place = int(np.frombuffer(self.places, "<u4")[i // SAMPLE])
@@ -113,9 +109,26 @@ class EliasFano:
         raw = int.from_bytes(self.low[start // 8 : (start + self.bits + 7) // 8], "little")
         return (high << self.bits) | ((raw >> (start % 8)) & ((1 << self.bits) - 1))
 
+    def span(self, i: int, j: int) -> np.ndarray:
+        """The values from the i-th to before the j-th, from the bits between two stored places."""
+        if j <= i:
+            return np.zeros(0, np.int64)
+        places = np.frombuffer(self.places, "<u4")
+        first, behind = i - i % SAMPLE, -(-j // SAMPLE)
+        start, end = int(places[first // SAMPLE]), int(places[behind]) if behind < len(places) else 8 * len(self.high)
+        flags = np.unpackbits(np.frombuffer(self.high[start // 8 : (end + 7) // 8], np.uint8), bitorder="little")
+        ones = start - start % 8 + np.flatnonzero(flags)
+        at = np.arange(i, j)
+        high = ones[ones >= start][at - first] - at
+        if not self.bits:
+            return high
+        bit = i * self.bits
+        low = np.unpackbits(np.frombuffer(self.low[bit // 8 : (j * self.bits + 7) // 8], np.uint8), bitorder="little")
+        low = low[bit % 8 : bit % 8 + (j - i) * self.bits].reshape(j - i, self.bits)
+        return (high << self.bits) | (low.astype(np.int64) @ (1 << np.arange(self.bits, dtype=np.int64)))
+
     def values(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))[: self.n]
-        return ((ones - np.arange(self.n)) << self.bits) | self._low(np.arange(self.n))
+        return self.span(0, self.n)
 
 
 def _segment(part: int, seg: int, docs: list[int | None], rows: list[bytes], width: int) -> dict:
@@ -160,7 +173,7 @@ def write(docs: DataFrame, path: str, vocabulary_path: str, end_id: int) -> None
 
         for whole in batches:
             for batch in slices(whole):
-                for doc, code in zip(batch.column(0).to_pylist(), known.encode(batch.column(1).to_pylist())):
+                for doc, code in zip(batch.column(0).to_pylist(), known.encode_array(batch.column(1)).to_pylist()):
                     if rows and held + len(code) // 4 + 1 > SEGMENT_IDS:
                         yield out()
                         ids, rows, held, seg = [], [], 0, seg + 1
@@ -187,24 +200,28 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in SEGMENT.names}
-                n = row["n_docs"]
-                ends = EliasFano(*(row[f"ends_{x}"] for x, _ in _EF), n).values()
-                named = EliasFano(*(row[f"docs_{x}"] for x, _ in _EF), n - row["null_docs"]).values() + row["first_doc"]
-                starts = np.append(0, ends[:-1])
-                ids = np.frombuffer(row["ids"], f"<u{row['width']}").astype("<u4")
-                data = memoryview(ids.tobytes())
-                crc = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([row["part"]] * n, pa.int32()),
-                        pa.array([row["seg"]] * n, pa.int32()),
-                        pa.array([None] * row["null_docs"] + named.tolist(), pa.int64()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(ends - starts, pa.int64()),
-                        pa.array(crc, pa.int64()),
-                    ],
-                    names=DOCUMENT.names,
-                )
+                n, nulls = row["n_docs"], row["null_docs"]
+                bounds = EliasFano(*(row[f"ends_{x}"] for x, _ in _EF), n)
+                named = EliasFano(*(row[f"docs_{x}"] for x, _ in _EF), n - nulls)
+                stored_ids, before = np.frombuffer(row["ids"], f"<u{row['width']}"), 0
+                for s in range(0, n, READ_DOCS):
+                    ends = bounds.span(s, min(n, s + READ_DOCS))
+                    starts = np.append(before, ends[:-1])
+                    ids = memoryview(stored_ids[before : int(ends[-1])].astype("<u4").tobytes())
+                    at = ((np.append(starts, ends[-1]) - before) * 4).tolist()
+                    docs = named.span(max(s - nulls, 0), max(s + len(ends) - nulls, 0)) + row["first_doc"]
+                    before = int(ends[-1])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([row["part"]] * len(ends), pa.int32()),
+                            pa.array([row["seg"]] * len(ends), pa.int32()),
+                            pa.array([None] * (len(ends) - len(docs)) + docs.tolist(), pa.int64()),
+                            pa.array(starts, pa.int64()),
+                            pa.array(ends - starts, pa.int64()),
+                            pa.array([zlib.crc32(ids[a:b]) for a, b in zip(at, at[1:])], pa.int64()),
+                        ],
+                        names=DOCUMENT.names,
+                    )
 
     inside = stored.mapInArrow(run, DOCUMENT)
     sizes = stored.select("part", "seg", "n_ids")

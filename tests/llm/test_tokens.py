@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 
@@ -11,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from basketlens.llm import bpe, token_file
+from basketlens.llm import bpe, queries, token_file
 from basketlens.llm.common import shared_path
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -44,9 +45,9 @@ def test_encoding_and_decoding_equal_the_library(spark, library):
 
 
 def test_cache_limit_does_not_change_ids(monkeypatch):
+    whole = bpe.WordBpe(PATH).encode(texts())
+    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 6)
     known = bpe.WordBpe(PATH)
-    whole = known.encode(texts())
-    monkeypatch.setattr(bpe, "CACHE_ENTRIES", 3)
     assert [known.encode([t])[0] for t in texts()] == whole
 
 
@@ -79,5 +80,25 @@ def test_elias_fano():
         code = token_file.EliasFano.build(values)
         assert code.values().tolist() == values.tolist()
         assert [code.select(i) for i in range(0, n, 7)] == values[::7].tolist()
+        for i, j in [(0, n), (n // 3, n // 2), (n // 2, n), (n - 1, n), (min(n, 256), min(n, 512)), (n, n)]:
+            assert code.span(i, j).tolist() == values[i:j].tolist()
         assert len(code.low) + len(code.high) <= (n * (3 + max(0, np.log2(max(top, 1) / n)))) / 8 + 16
     assert token_file.EliasFano.build(np.zeros(0, np.int64)).values().tolist() == []
+
+
+def test_queries_equal_the_library_on_a_whole_table(spark, library):
+    folder = "/root/testdata/sf0.01"
+    docs = sorted(map(tuple, spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()))
+    coded, start, placed = {}, 0, []
+    for doc, text in docs:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        plain = library.decode(ids, skip_special_tokens=False)
+        coded[doc] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(plain.encode()).hexdigest())
+        placed.append((doc, start, len(ids) + 1, zlib.crc32(np.array([*ids, 2], "<u4").tobytes())))
+        start += len(ids) + 1
+    assert {r[0]: tuple(r)[1:] for r in queries.op2_bpe(spark, folder).collect()} == coded
+    assert sorted(map(tuple, queries.op4_token_file(spark, folder).collect())) == placed
+
+
+def test_empty_table(spark):
+    assert bpe.round_trip(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0

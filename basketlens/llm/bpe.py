@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
@@ -46,39 +47,49 @@ def byte_symbols() -> list[str]:
     return [shown[b] for b in range(256)]
 
 
-class Recent:
-    """A mapping that keeps what was asked for last: half of ``entries`` at least, and what one call needs."""
+def gathered(ids: np.ndarray, ends: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces ``at`` of a pool of ids (piece i ends at ``ends[i]``), put together, and where each of them ends."""
+    sizes = np.diff(ends, prepend=0)[at]
+    out = np.cumsum(sizes)
+    total = int(out[-1]) if len(out) else 0
+    return ids[np.repeat(ends[at] - out, sizes) + np.arange(total)], out
+
+
+class Known:
+    """Texts with their ids: texts as an Arrow array, ids in one pool. Beyond ``entries``, the half that was asked for last stays."""
 
     def __init__(self, entries: int) -> None:
-        self.half, self.young, self.old = entries // 2, {}, {}
-
-    def missing(self, keys: list[str]) -> list[str]:
-        """The keys that are not there; the others are kept."""
-        young, old, out = self.young, self.old, []
-        for key in keys:
-            if key not in young:
-                if (value := old.get(key)) is None:
-                    out.append(key)
-                else:
-                    young[key] = value
-        return out
-
-    def of(self, keys: list[str]) -> list[bytes]:
-        """The values of keys that have been asked for by missing() since the last of()."""
-        out = list(map(self.young.__getitem__, keys))
-        if len(self.young) > self.half:
-            self.old, self.young = self.young, {}
-        return out
-
-
-def gathered(values: list[bytes], at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All ids of ``values[at]`` one after the other, and where each of them ends."""
-    pool = np.frombuffer(b"".join(values), "<u4")
-    sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-    starts, many = np.cumsum(sizes) - sizes, sizes[at]
-    ends = np.cumsum(many)
-    total = int(ends[-1]) if len(ends) else 0
-    return pool[np.repeat(starts[at] - ends + many, many) + np.arange(total)], ends
+        self.entries, self.round = entries, 0
+        self.texts, self.ids, self.ends = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        self.asked = np.zeros(0, np.int64)
+
+    def find(self, texts: pa.Array) -> np.ndarray:
+        """The place of each text, -1 where it is not known."""
+        self.round += 1
+        if len(self.texts) > self.entries:
+            keep = np.sort(np.argsort(-self.asked, kind="stable")[: self.entries // 2])
+            self.ids, self.ends = gathered(self.ids, self.ends, keep)
+            self.texts, self.asked = self.texts.take(pa.array(keep)), self.asked[keep]
+        at = pc.fill_null(pc.index_in(texts, value_set=self.texts), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.asked[at[at >= 0]] = self.round
+        return at
+
+    def add(self, texts: pa.Array, ids: np.ndarray, ends: np.ndarray) -> None:
+        self.texts = pa.concat_arrays([self.texts, texts])
+        self.ends = np.concatenate([self.ends, ends + len(self.ids)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.asked = np.append(self.asked, np.full(len(texts), self.round))
+
+    def places(self, texts: pa.Array, learn: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The place of each of the distinct texts; ``learn`` gives ids and their ends for those that are new."""
+        at = self.find(texts)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            some = texts.take(pa.array(new))
+            ids, ends = learn(some)
+            at[new] = len(self.texts) + np.arange(len(new))
+            self.add(some, ids, ends)
+        return at
 
 
 class WordBpe:
@@ -100,18 +111,19 @@ class WordBpe:
         self.marked = regex.compile(rf"\n|{pattern}")
         self.white = regex.compile(f"[{_WHITE}]+")
         self.added = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
+        # a pair's key is one number, in 32 bits where the vocabulary allows it
+        self.kind, self.size = (np.uint32 if size < 1 << 16 else np.int64), size
         # byte -> id of its symbol, inside a word and at its end
         shown = byte_symbols()
-        self.inner = np.array([vocab[c] for c in shown], np.int64)
-        self.last = np.array([vocab[c + self.suffix] for c in shown], np.int64)
+        self.inner = np.array([vocab[c] for c in shown], self.kind)
+        self.last = np.array([vocab[c + self.suffix] for c in shown], self.kind)
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        keys = np.array([(vocab[a] << 32) | vocab[b] for a, b in pairs], np.int64)
-        merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
+        keys = np.array([vocab[a] * size + vocab[b] for a, b in pairs], self.kind)
         order = np.argsort(keys, kind="stable")
-        self.keys, self.merged, self.rank = keys[order], merged[order], order.astype(np.int64)
-        self.by_rank = np.argsort(order, kind="stable")
+        self.keys, self.rank = keys[order], order.astype(np.int32)
+        self.by_rank = np.array([vocab[a + b] for a, b in pairs], self.kind)
         self.shown = pa.array(self.tokens)
-        self.known_chunks, self.known_words = Recent(CACHE_ENTRIES), Recent(CACHE_ENTRIES)
+        self.known_chunks, self.known_words = Known(CACHE_ENTRIES), Known(CACHE_ENTRIES)
 
     # -- merging -------------------------------------------------------------------------
 
@@ -119,21 +131,20 @@ class WordBpe:
         """Rank of the pair that starts at each place looked at; one beyond all where there is none."""
         last = len(symbols) - 1
         after = np.minimum(look + 1, last)
-        key = (symbols[look] << 32) | symbols[after]
+        key = symbols[look] * self.kind(self.size) + symbols[after]
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         found = (self.keys[at] == key) & (owner[look] == owner[after]) & (look < last)
-        return np.where(found, self.rank[at], len(self.keys))
+        return np.where(found, self.rank[at], np.int32(len(self.keys)))
 
-    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in one array, and the bounds of each word in it. No word is empty."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
+    def merge(self, raw: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """From the bytes of words and their lengths: ids of all words in one array, and where each word ends. No word is empty."""
+        n = len(lengths)
         ends = np.cumsum(lengths)
-        raw = np.frombuffer(b"".join(words), np.uint8)
         symbols = self.inner[raw]
         symbols[ends - 1] = self.last[raw[ends - 1]]
-        owner = np.repeat(np.arange(len(words)), lengths)
-        done_symbols, done_owner = [], []
-        none = np.int64(len(self.keys))
+        owner = np.repeat(np.arange(n, dtype=np.int32), lengths)
+        done_symbols, done_owner = [np.zeros(0, self.kind)], [np.zeros(0, np.int32)]
+        none = np.int32(len(self.keys))
         rank = np.full(len(symbols), none)
         look = np.arange(len(symbols))
         while len(symbols):
@@ -154,17 +165,15 @@ class WordBpe:
             start = np.append(True, (places[1:] != places[:-1] + 1) | (owner[places[1:]] != owner[places[:-1]]))
             run = np.maximum.accumulate(np.where(start, np.arange(len(places)), 0))
             places = places[(np.arange(len(places)) - run) % 2 == 0]
-            symbols[places] = self.merged[self.by_rank[rank[places]]]
+            symbols[places] = self.by_rank[rank[places]]
             keep = np.ones(len(symbols), bool)
             keep[places + 1] = False
             moved = places - np.arange(len(places))
             symbols, owner, rank = symbols[keep], owner[keep], rank[keep]
             look = np.concatenate([moved, np.maximum(moved - 1, 0)])
-        flat = np.concatenate(done_symbols) if done_symbols else np.zeros(0, np.int64)
-        who = np.concatenate(done_owner) if done_owner else np.zeros(0, np.int64)
+        who = np.concatenate(done_owner)
         order = np.argsort(who, kind="stable")
-        bounds = np.searchsorted(who[order], np.arange(len(words) + 1))
-        return flat[order].astype("<u4"), bounds
+        return np.concatenate(done_symbols)[order].astype("<u4"), np.cumsum(np.bincount(who, minlength=n))
 
     # -- texts ---------------------------------------------------------------------------
 
@@ -174,44 +183,44 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower()
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """Ids of each of the distinct words."""
-        new = self.known_words.missing(words)
-        if new:
-            flat, bounds = self.merge([w.encode("utf-8", "replace") for w in new])
-            data, at = flat.tobytes(), (bounds * 4).tolist()
-            self.known_words.young.update(zip(new, [data[i:j] for i, j in zip(at, at[1:])]))
-        return self.known_words.of(words)
-
-    def learn(self, plain: list[str]) -> list[bytes]:
-        """Ids of chunks without added tokens."""
-        if not plain:
-            return []
-        tokens = self.marked.findall(self._lower("\n".join(plain)) + "\n")
+    def _merged(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """merge() of an Arrow array."""
+        bounds = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+        raw = np.frombuffer(words.buffers()[2], np.uint8)[bounds[0] : bounds[-1]]
+        return self.merge(raw, np.diff(bounds))
+
+    def _plain(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks without added tokens, and where each chunk ends."""
+        tokens = self.marked.findall(self._lower("\n".join(chunks)) + "\n")
         number: dict[str, int] = {"\n": 0}
         at = np.array([number.setdefault(t, len(number)) for t in tokens])
-        values = [b"", *self.words(list(number)[1:])]
-        flat, ends = gathered(values, at)
-        cuts = np.append(0, ends[at == 0] * 4).tolist()
-        data = flat.tobytes()
-        return [data[i:j] for i, j in zip(cuts, cuts[1:])]
-
-    def chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each of the distinct chunks."""
-        new = self.known_chunks.missing(chunks)
-        special = []
-        if self.added is not None and self.added.search("\n".join(new)):
-            special = [c for c in new if self.added.search(c)]
-            new = [c for c in new if not self.added.search(c)]
-        found = dict(zip(new, self.learn(new)))
-        for chunk in special:
-            pieces, start = [], 0
-            for m in self.added.finditer(chunk):
-                pieces += [*self.learn([chunk[start : m.start()]][: m.start() - start]), self.special[m.group()].to_bytes(4, "little")]
+        words = self.known_words.places(pa.array(list(number)[1:], pa.string()), self._merged)
+        ids, ends = gathered(self.known_words.ids, self.known_words.ends, words[at[at > 0] - 1])
+        return ids, np.append(0, ends)[np.cumsum(at > 0)[at == 0]]
+
+    def _special(self, chunk: str) -> tuple[np.ndarray, np.ndarray]:
+        """As _plain, of one chunk that holds added tokens."""
+        pieces, start = [], 0
+        for m in [*self.added.finditer(chunk), None]:
+            piece = chunk[start : m.start() if m else len(chunk)]
+            pieces.append(self._plain([piece])[0] if piece else np.zeros(0, "<u4"))
+            if m:
+                pieces.append(np.array([self.special[m.group()]], "<u4"))
                 start = m.end()
-            found[chunk] = b"".join([*pieces, *self.learn([chunk[start:]][: len(chunk) - start])])
-        self.known_chunks.young.update(found)
-        return self.known_chunks.of(chunks)
+        return (ids := np.concatenate(pieces)), np.array([len(ids)])
+
+    def learn(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks (texts between white space), and where each chunk ends."""
+        texts = chunks.to_pylist()
+        if self.added is None or not self.added.search("\n".join(texts)):
+            return self._plain(texts)
+        runs, start = [], 0
+        for i in [*(i for i, c in enumerate(texts) if self.added.search(c)), len(texts)]:
+            runs += [self._plain(texts[start:i])] if i > start else []
+            runs += [self._special(texts[i])] if i < len(texts) else []
+            start = i + 1
+        before = np.cumsum([0, *[len(ids) for ids, _ in runs]])
+        return np.concatenate([ids for ids, _ in runs]), np.concatenate([ends + b for (_, ends), b in zip(runs, before)])
 
     def split(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """All chunks of the texts, and where those of each text start (and the last end)."""
@@ -232,7 +241,8 @@ class WordBpe:
         """Ids of each text as little-endian unsigned 32-bit integers, in one binary a text."""
         flat, bounds = self.split(texts)
         coded = flat.dictionary_encode()
-        ids, ends = gathered(self.chunks(coded.dictionary.to_pylist()), coded.indices.to_numpy())
+        places = self.known_chunks.places(coded.dictionary, self.learn)
+        ids, ends = gathered(self.known_chunks.ids, self.known_chunks.ends, places[coded.indices.to_numpy()])
         offsets = np.append(0, ends)[bounds] * 4
         kind, width = (pa.binary(), np.int32) if offsets[-1] < 1 << 31 else (pa.large_binary(), np.int64)
         out = pa.Array.from_buffers(kind, len(texts), [None, pa.py_buffer(offsets.astype(width)), pa.py_buffer(ids.astype("<u4"))])

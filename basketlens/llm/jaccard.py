@@ -50,7 +50,7 @@ from basketlens.llm.repeats import _BYTE_HASH, _IS_SPACE, _blocks, _bucket, _by_
 
 WORDS = 5
 PERCENT = 75
-BLOCK = 4096
+BLOCK = 1024
 FANOUT = 16
 BITS = 2048
 #: Pairs of tree nodes that are looked at together.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.schemas import SOURCE_SCHEMAS
+from basketlens.sources import csv_splits
 from basketlens.sources.layers import Layer
 
 REPORT_SCHEMA = "table_name string, status string, loaded_rows long, error string"
@@ -33,15 +34,21 @@ def read_csv_table(
     Empty fields are NULL. Declared types are matched to the file's columns by normalized
     header name, so the column order of the file is free. Without a schema all is text.
 
-    ``line_breaks`` makes every file one task, as only a whole file tells where its quotes
-    stand. Turn it off for large files that are known to have no line breaks in fields.
+    Large files are read by a task per split either way. With ``line_breaks`` they are read
+    twice, first to find where records start; turn it off for files that are known to have no
+    line breaks in fields.
     """
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", line_breaks)
-    names = reader.csv(path).columns
+    options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": _RECORD}
+    names = spark.read.options(header=True, multiLine=line_breaks, **options).csv(path).columns
     # A record with another number of fields than the header is kept as text beside its values;
     # commas outside of quotes tell the short ones from those with too many.
     wide = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RECORD]])
-    raw = reader.schema(wide).option("columnNameOfCorruptRecord", _RECORD).csv(path)
+    if line_breaks:
+        fields = ", ".join(f"`{n.replace('`', '``')}` string" for n in wide.names)
+        parsed = F.from_csv("record", fields, {**options, "multiLine": "true"})
+        raw = csv_splits.records(spark, path).select(parsed.alias("row")).select("row.*")
+    else:
+        raw = spark.read.options(header=True, **options).schema(wide).csv(path)
     commas = F.length(F.regexp_replace(F.regexp_replace(_RECORD, '"([^"]|"")*+"', ""), "[^,]", ""))
     surplus = F.coalesce(commas >= len(names), F.lit(False))
     fits = F.when(~surplus, True).otherwise(F.raise_error(F.lit(f"a row with too many fields in {path}")).cast("boolean"))
@@ -78,16 +85,18 @@ def load_csv_folder(
     folder: str,
     layer: Layer,
     schemas: dict[str, T.StructType] = SOURCE_SCHEMAS,
+    line_breaks: bool = True,
 ) -> DataFrame:
     """Load every CSV table of a folder into a layer, replacing what is there.
 
     One bad table does not stop the others: the report has a row per table with
     its status, row count and error. Rows are counted in the written table, from its footers.
+    ``line_breaks`` as for read_csv_table.
     """
     report = []
     for table in csv_tables(spark, folder):
         try:
-            layer.replace(table.name, read_csv_table(spark, table.path, schemas.get(table.name)))
+            layer.replace(table.name, read_csv_table(spark, table.path, schemas.get(table.name), line_breaks))
             report.append((table.name, "loaded", layer.read(table.name).count(), None))
         except PySparkException as error:
             report.append((table.name, "failed", 0, str(error).splitlines()[0]))

@@ -20,7 +20,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,30 +29,38 @@ from basketlens.session import shared_dir
 
 #: Splits whose states (some 30 bytes each) are sent to all tasks; beyond that the lines are dealt out by split.
 BROADCAST_SPLITS = 1_000_000
-#: Fields of a line that are complete; what is left starts with an open quote, or is empty.
-_CLOSED = regex.compile(r'(?:(?:"(?:[^"]|"")*+"[^,]*+|[^",][^,]*+)?+(?:,|\Z))*+', regex.DOTALL)
-#: What closes a field that was open at the start of a line.
-_CLOSING = regex.compile(r'(?:[^"]|"")*+"[^,]*+,?+', regex.DOTALL)
+# A closing quote is the first one that no other quote follows; what stands behind it up to the comma is text.
+_AFTER_QUOTE = r'"(?:[^",][^,]*)?'
+_FIELD = rf'(?:"(?:[^"]|"")*{_AFTER_QUOTE}|[^",][^,]*)?'
+#: Lines that end outside of a quoted field, if they start outside or inside of one.
+_CLOSED = (rf"^(?:{_FIELD},)*{_FIELD}$", rf'^(?:[^"]|"")*{_AFTER_QUOTE}(?:,(?:{_FIELD},)*{_FIELD})?$')
+#: Pieces of a split: whole records; what ends a record of an earlier split, opens one, or is all of a split inside one.
+RECORD, END, START, THROUGH = range(4)
 
 _SPLIT = [T.StructField("file", T.LongType()), T.StructField("split", T.LongType())]
 _EFFECT = T.StructType([*_SPLIT, T.StructField("from_outside", T.IntegerType()), T.StructField("from_inside", T.IntegerType())])
 _PIECE = T.StructType(
-    [*_SPLIT, T.StructField("kind", T.StringType()), T.StructField("place", T.LongType()), T.StructField("record", T.StringType())]
+    [*_SPLIT, T.StructField("kind", T.IntegerType()), T.StructField("place", T.LongType()), T.StructField("record", T.StringType())]
 )
 
 
-def ends_inside(line: str, inside: bool) -> bool:
-    """Whether a quoted field is open behind a line, given whether one is open before it."""
-    start = 0
-    if inside:
-        closing = _CLOSING.match(line)
-        if closing is None:
-            return True
-        start = closing.end()
-    return start < len(line) and _CLOSED.match(line, start).end() < len(line)
+def states_behind(lines: pa.Array, inside: int) -> np.ndarray:
+    """Whether a quoted field is open behind each line (0 or 1), given whether one is open before the first."""
+    n = len(lines)
+    swaps, fixes = np.zeros(n, np.int64), np.full(n, -1)
+    quoted = np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
+    if len(quoted):
+        some = lines.take(pa.array(quoted))
+        outside, within = (1 - pc.match_substring_regex(some, p).to_numpy(zero_copy_only=False).astype(np.int64) for p in _CLOSED)
+        swaps[quoted] = (outside == 1) & (within == 0)
+        fixes[quoted] = np.where(outside == within, outside, -1)
+    # the last line that fixes the state counts, and the swaps since
+    total = np.cumsum(swaps)
+    last = np.maximum.accumulate(np.where(fixes >= 0, np.arange(n), -1))
+    return np.where(last >= 0, (fixes[last] + total - total[last]) & 1, (inside + total) & 1)
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.RecordBatch]]:
     """The rows of each batch by split; a split's rows come one after the other."""
     for batch in batches:
         if not batch.num_rows:
@@ -61,76 +68,60 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Reco
         file, split = (batch.column(i).to_numpy() for i in range(2))
         cuts = np.flatnonzero((file[1:] != file[:-1]) | (split[1:] != split[:-1])) + 1
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-            yield int(file[a]), int(split[a]), batch.slice(a, b - a)
+            yield (int(file[a]), int(split[a])), batch.slice(a, b - a)
 
 
-def _quoted(lines: pa.Array) -> np.ndarray:
-    """Places of the lines that hold a quote: all others leave the state as it is."""
-    return np.flatnonzero(pc.match_substring(lines, '"').to_numpy(zero_copy_only=False))
+def _batch(key: tuple[int, int], schema: T.StructType, *columns: list) -> pa.RecordBatch:
+    """Rows of one split."""
+    arrays = [pa.array([k] * len(columns[0]), pa.int64()) for k in key]
+    kinds = {"place": pa.int64(), "record": pa.string()}
+    arrays += [c if isinstance(c, pa.Array) else pa.array(c, kinds.get(n, pa.int32())) for n, c in zip(schema.names[2:], columns)]
+    return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
 
 def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    now, states = None, [0, 1]
-
-    def out():
-        return pa.RecordBatch.from_arrays(
-            [*[pa.array([v], pa.int64()) for v in now], *[pa.array([s], pa.int32()) for s in states]], names=_EFFECT.names
-        )
-
-    for file, split, rows in _runs(batches):
-        if (file, split) != now:
+    now, states = None, (0, 1)
+    for key, rows in _runs(batches):
+        if key != now:
             if now is not None:
-                yield out()
-            now, states = (file, split), [0, 1]
-        lines = rows.column(2)
-        for i in _quoted(lines).tolist():
-            line = lines[i].as_py()
-            after = [int(ends_inside(line, False)), int(ends_inside(line, True))]
-            states = [after[s] for s in states]
+                yield _batch(now, _EFFECT, [states[0]], [states[1]])
+            now, states = key, (0, 1)
+        states = tuple(int(states_behind(rows.column(2), s)[-1]) for s in states)
     if now is not None:
-        yield out()
+        yield _batch(now, _EFFECT, [states[0]], [states[1]])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records of a split; ``first`` of a file is its header, ``end`` closes and ``start`` opens a record across the edge."""
-    now, open_lines, inside, kind, place = None, [], False, "", 0
-
-    def made(key, rows):
-        n = len(rows)
-        kinds, places, texts = zip(*rows)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([key[0]] * n, pa.int64()), pa.array([key[1]] * n, pa.int64()), pa.array(kinds), pa.array(places, pa.int64()), pa.array(texts)],
-            names=_PIECE.names,
-        )
+    """The records of each split, and the pieces of those that cross its edges. ``place`` counts them."""
+    now, kept, inside, kind, place = None, None, 0, RECORD, 0
 
     def rest():
-        return [("start" if kind == "record" else "through", place, "\n".join(open_lines))] if open_lines else []
-
-    for file, split, rows in _runs(batches):
-        if (file, split) != now:
-            if left := rest():
-                yield made(now, left)
-            now, open_lines, place = (file, split), [], 0
-            inside = bool(rows.column(3)[0].as_py())
-            kind = "end" if inside else "record"
+        return _batch(now, _PIECE, [START if kind == RECORD else THROUGH], [place], [kept])
+
+    for key, rows in _runs(batches):
+        if key != now:
+            if kept is not None:
+                yield rest()
+            now, kept, place, inside = key, None, 0, rows.column(3)[0].as_py()
+            kind = END if inside else RECORD
         lines = rows.column(2)
-        quoted, out, done = set(_quoted(lines).tolist()), [], 0
-        if not quoted and not inside:
-            texts = lines.to_pylist()
-            yield made(now, [("record", place + i, t) for i, t in enumerate(texts)])
-            place += len(texts)
-            continue
-        for i, line in enumerate(lines.to_pylist()):
-            if i in quoted:
-                inside = ends_inside(line, inside)
-            open_lines.append(line)
-            if not inside:
-                out.append((kind, place, "\n".join(open_lines)))
-                open_lines, kind, place = [], "record", place + 1
-        if out:
-            yield made(now, out)
-    if left := rest():
-        yield made(now, left)
+        behind = states_behind(lines, inside)
+        inside, ends = int(behind[-1]), np.flatnonzero(behind == 0) + 1
+        n = int(ends[-1]) if len(ends) else 0
+        made = lines.slice(0, n)
+        if len(ends) < n:
+            made = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), made), "\n")
+        if kept is not None and len(ends):
+            made, kept = pa.concat_arrays([pa.array([kept + "\n" + made[0].as_py()]), made.slice(1)]), None
+        if len(ends):
+            kinds = np.zeros(len(ends), np.int32)
+            kinds[0], kind = kind, RECORD
+            yield _batch(now, _PIECE, pa.array(kinds), pa.array(place + np.arange(len(ends))), made)
+            place += len(ends)
+        if n < len(lines):
+            kept = "\n".join([*([] if kept is None else [kept]), *lines.slice(n).to_pylist()])
+    if kept is not None:
+        yield rest()
 
 
 def _split_states(effects: DataFrame) -> DataFrame:
@@ -174,23 +165,27 @@ def records(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     lines = source.select(
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").alias("line")
     )
-    states = _split_states(lines.mapInArrow(_effects, _EFFECT)).checkpoint()
+    # lines without a quote leave the state as it is
+    effects = lines.where(F.contains("line", F.lit('"'))).mapInArrow(_effects, _EFFECT)
+    every = lines.select("file", "split").distinct().join(effects, ["file", "split"], "left")
+    states = _split_states(every.na.fill({"from_outside": 0, "from_inside": 1})).checkpoint()
     few = states.count() <= BROADCAST_SPLITS
-    whole = _cut(lines, states.withColumn("wanted", F.lit(True)), few).where("kind = 'record'")
+    whole = _cut(lines, states.withColumn("wanted", F.lit(True)), few).where(F.col("kind") == RECORD)
     if header:
         whole = whole.where("not (split = 0 and place = 0)")
     whole = whole.select("record")
     edge = F.expr("inside = 1 or open = 1")
     if not states.where(edge).isEmpty():
         whole = whole.unionByName(_crossing(_cut(lines, states.withColumn("wanted", edge), few), header))
-    return whole.select(F.regexp_replace("record", "\\r$", "").alias("record")).where("record <> ''")
+    text = F.when(F.endswith("record", F.lit("\r")), F.expr("left(record, length(record) - 1)")).otherwise(F.col("record"))
+    return whole.select(text.alias("record")).where("record <> ''")
 
 
 def _crossing(pieces: DataFrame, header: bool) -> DataFrame:
     """Records in pieces, put together: each piece belongs to the last start before it."""
     order = Window.partitionBy("file").orderBy("split", "place")
-    opened = F.last(F.when(F.col("kind") == "start", F.struct("split", "place")), ignorenulls=True).over(order)
-    parts = pieces.where("kind <> 'record'").withColumn("opened", opened)
+    opened = F.last(F.when(F.col("kind") == START, F.struct("split", "place")), ignorenulls=True).over(order)
+    parts = pieces.where(F.col("kind") != RECORD).withColumn("opened", opened)
     parts = parts.groupBy("file", "opened").agg(F.array_sort(F.collect_list(F.struct("split", "place", "record"))).alias("parts"))
     if header:
         parts = parts.where("not (opened.split = 0 and opened.place = 0)")

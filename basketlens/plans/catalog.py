@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from basketlens import schemas
 from basketlens.functions.sql import exact_sum, named, ratio
 from basketlens.operators import (
-    actions, churn, dashboards, drift, experiments, explain, metrics, models, prep, quality, sessions, smote, tuning,
+    actions, attribution, churn, dashboards, drift, experiments, explain, metrics, models, prep, quality, sessions, smote, tuning,
 )
 from basketlens.plans import scoring, training
 from basketlens.plans.marts import Staged
@@ -810,3 +810,23 @@ def explain_permutation(spark, sf):
 def explain_splits(spark, sf):
     table = _training_table(spark, sf)
     return explain.split_importance(_boosted(spark, sf).model, table)
+
+
+def _attributed(spark, sf) -> DataFrame:
+    """Shares of a boosted model of the first generation's size (the tuned least gain leaves no splits on these tables)."""
+    model = training.train_boosted(_training_table(spark, sf), models.LEGACY_PARAMS).model
+    return attribution.attribute(model, _scoring(spark, sf))
+
+
+@query
+def explain_trees_rows(spark, sf):
+    """What each feature adds to a boosted model's margin of each user to be scored."""
+    return _attributed(spark, sf)
+
+
+@query
+def explain_trees(spark, sf):
+    """Mean absolute share per feature over the users to be scored."""
+    shared = _attributed(spark, sf)
+    own = ("user_id", attribution.MARGIN, attribution.EXPECTED)
+    return attribution.importance(shared, [c for c in shared.columns if c not in own])

@@ -1,11 +1,16 @@
-"""Random search over boosted-tree parameters with stratified cross-validation."""
+"""Random search over boosted-tree parameters by successive halving, with stratified cross-validation.
+
+Trials start on a small share of the rows with few trees. After each rung the better part
+goes on with more of both; the last rung has all rows and all trees. A rung's rows are those
+of the rung before and more, and a row's fold stays. Besides the trees, the medians for
+missing numbers are learned from rows, and those only from outside of the held-out fold.
+"""
 
 from __future__ import annotations
 
-import itertools
 import math
 import random
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
@@ -59,49 +64,94 @@ class Tuned:
         return registry.log_run(experiment, "tuned", asdict(self.best), metrics, self.model)
 
 
+@dataclass(frozen=True)
+class Rung:
+    number: int
+    share: float
+    trees: int
+
+
+def rungs_of(rungs: int, keep: float, trees: int) -> list[Rung]:
+    """Shares of the rows that grow by 1 / keep up to all, and trees in proportion (2 at least)."""
+    shares = [keep ** (rungs - 1 - r) for r in range(rungs)]
+    return [Rung(r, share, min(trees, max(2, math.ceil(trees * share)))) for r, share in enumerate(shares)]
+
+
+def survivors(scores: dict[int, float | None], keep: float) -> list[int]:
+    """The better part of the trials, one at least, best first; ties go to the earlier trial.
+
+    Trials without a score (one class in a fold) go last. Where none has one, all go on.
+    """
+    ranked = sorted(scores, key=lambda t: (scores[t] is None, -(scores[t] or 0.0), t))
+    if not ranked or scores[ranked[0]] is None:
+        return sorted(scores)
+    return ranked[: max(1, math.ceil(len(ranked) * keep))]
+
+
+_TRIAL = "trial int, depth int, rate double, min_info_gain double, positive_weight double"
+_RESULT = f"{_TRIAL}, rung int, row_share double, trees int, fold_scores array<double>, mean_average_precision double, stopped string"
+
+
 def tune_boosted(
     train: DataFrame, trials: int = 20, folds: int = 3, trees: int = 10, seed: int = 42, parallelism: int = 8,
-    space: SearchSpace = SearchSpace(), target: str = TARGET, key: str = "user_id",
+    space: SearchSpace = SearchSpace(), target: str = TARGET, key: str = "user_id", rungs: int = 3, keep: float = 1 / 3,
 ) -> Tuned:
-    """Maximize the mean average precision over stratified folds.
+    """Maximize the mean average precision over stratified folds; one rung is a plain random search.
 
-    Features are encoded once and checkpointed; fits of all trials start from those
-    rows, several at a time. The held-out rows of all fits are then scored and
-    ranked in one job, grouped by trial and fold. A trial whose folds hold one
-    class only has no score and cannot win.
+    The rows of a rung are encoded once per fold and checkpointed; fits of its trials start
+    from those, several at a time, and the held-out rows of all of them are scored and ranked
+    in one job. ``trials`` of the result has a row per trial: the last rung that it saw, its
+    scores there and why it stopped.
     """
     spark = train.sparkSession
     shared_dir(spark)
     rng = random.Random(seed)
     drawn = [space.draw(rng, trees, seed) for _ in range(trials)]
     levels = category_levels(train, CATEGORICAL_FEATURES)
-    encode = Pipeline(stages=tree_features(levels, NUMERIC_FEATURES)).fit(train)
-    folded = stratified_folds(encode.transform(train).select(key, target, "features"), target, key, folds, seed)
+    place = f"pmod(xxhash64({key}, {seed}), 1000000) / 1000000D AS __place"
+    folded = stratified_folds(train, target, key, folds, seed).selectExpr("*", place).checkpoint()
     weights = [f"CASE WHEN {target} = 1 THEN {p.positive_weight}D ELSE 1D END AS w_{i}" for i, p in enumerate(drawn)]
-    data = folded.selectExpr(target, "features", "fold", *weights).checkpoint()
 
-    def fitted(trial: int, rows: DataFrame):
-        return boosted_classifier(drawn[trial], target, f"w_{trial}").fit(rows)
+    def encoder(rows: DataFrame) -> PipelineModel:
+        return Pipeline(stages=tree_features(levels, NUMERIC_FEATURES)).fit(rows)
+
+    def encoded(rung: Rung, fold: int, alive: list[int]) -> tuple[DataFrame, DataFrame]:
+        """Training and held-out rows of a fold; medians come from the training rows."""
+        rows = folded.filter(f"__place < {rung.share}D")
+        known = rows.filter(f"fold != {fold}")
+        made = encoder(known).transform(rows).selectExpr(target, "features", "fold", *[weights[t] for t in alive]).checkpoint()
+        return made.filter(f"fold != {fold}"), made.filter(f"fold = {fold}").select(target, "features")
 
-    def held_out(job: tuple[int, int]) -> DataFrame:
-        fold, trial = job
-        model = fitted(trial, data.filter(f"fold != {fold}"))
-        rows = data.filter(f"fold = {fold}").select(target, "features")
+    def held_out(job: tuple[Rung, int, int, tuple[DataFrame, DataFrame]]) -> DataFrame:
+        rung, fold, trial, (known, rows) = job
+        model = boosted_classifier(replace(drawn[trial], trees=rung.trees), target, f"w_{trial}").fit(known)
         return score(model, rows, "score").selectExpr(target, "score", f"{trial} AS trial", f"{fold} AS fold")
 
-    with ThreadPool(parallelism) as pool:
-        parts = pool.map(inheritable_thread_target(spark)(held_out), itertools.product(range(folds), range(trials)))
-    ranked = ranking_metrics(reduce(DataFrame.unionByName, parts), target, "score", ["trial", "fold"])
-    schema = "trial int, depth int, rate double, min_info_gain double, positive_weight double"
-    rows = [(i, p.depth, p.rate, p.min_info_gain, p.positive_weight) for i, p in enumerate(drawn)]
-    per_trial = ranked.groupBy("trial").agg(
-        *named(
-            fold_scores="transform(array_sort(collect_list(struct(fold, average_precision))), f -> f.average_precision)",
-            mean_average_precision="avg(average_precision)",
+    found: dict[int, tuple] = {}
+    alive = list(range(trials))
+    for rung in rungs_of(rungs, keep, trees):
+        with ThreadPool(parallelism) as pool:
+            data = pool.map(inheritable_thread_target(spark)(lambda fold: encoded(rung, fold, alive)), range(folds))
+            jobs = [(rung, fold, trial, data[fold]) for trial in alive for fold in range(folds)]
+            parts = pool.map(inheritable_thread_target(spark)(held_out), jobs, chunksize=1)
+        ranked = ranking_metrics(reduce(DataFrame.unionByName, parts), target, "score", ["trial", "fold"])
+        per_trial = ranked.groupBy("trial").agg(
+            *named(
+                fold_scores="transform(array_sort(collect_list(struct(fold, average_precision))), f -> f.average_precision)",
+                mean="avg(average_precision)",
+            )
         )
-    )
-    found = spark.createDataFrame(rows, schema).join(per_trial, "trial").orderBy("trial").collect()
-    table = spark.createDataFrame(found, f"{schema}, fold_scores array<double>, mean_average_precision double")
-    best = max(found, key=lambda r: -math.inf if r["mean_average_precision"] is None else r["mean_average_precision"])
-    model = PipelineModel([*encode.stages, fitted(best["trial"], data)])
-    return Tuned(drawn[best["trial"]], best["mean_average_precision"], table, model)
+        scores = {r["trial"]: (r["fold_scores"], r["mean"]) for r in per_trial.collect()}
+        means = {t: scores[t][1] for t in alive}
+        last = rung.number == rungs - 1
+        going = survivors(means, 0.0 if last else keep)[: 1 if last else None]
+        for t in alive:
+            why = None if t in going else f"behind {len(going)} of {len(alive)} in rung {rung.number}"
+            found[t] = (rung.number, rung.share, rung.trees, *scores[t], why)
+        alive = sorted(going)
+    best = alive[0]
+    rows = [(i, p.depth, p.rate, p.min_info_gain, p.positive_weight, *found[i]) for i, p in enumerate(drawn)]
+    encode = encoder(folded)
+    whole = encode.transform(folded).selectExpr(target, "features", weights[best]).checkpoint()
+    model = PipelineModel([*encode.stages, boosted_classifier(drawn[best], target, f"w_{best}").fit(whole)])
+    return Tuned(drawn[best], found[best][4], spark.createDataFrame(rows, _RESULT), model)

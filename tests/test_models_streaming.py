@@ -5,10 +5,11 @@ from dataclasses import asdict
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 
 from basketlens.operators import actions, explain, models, prep
 from basketlens.operators.churn import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from basketlens.operators.tuning import tune_boosted
+from basketlens.operators.tuning import rungs_of, survivors, tune_boosted
 from basketlens.plans import scoring, training
 from basketlens.session import scratch_path
 from basketlens.sources.layers import FolderLayer
@@ -87,8 +88,44 @@ def test_boosted_and_importance(spark, train_set):
     assert len(shares) == 10 + 1 + 2, "first level of each category is the base"
 
 
+def test_tuning_stops_the_worse_part(train_set):
+    tuned = tune_boosted(train_set, trials=6, trees=4, folds=2, rungs=2, keep=0.5)
+    rows = tuned.trials.collect()
+    assert [r["trial"] for r in rows] == list(range(6))
+    first, last = ([r for r in rows if r["rung"] == n] for n in (0, 1))
+    assert len(first) == len(last) == 3
+    assert {(r["row_share"], r["trees"]) for r in first} == {(0.5, 2)} and {(r["row_share"], r["trees"]) for r in last} == {(1.0, 4)}
+    assert all(r["stopped"] == "behind 3 of 6 in rung 0" for r in first)
+    best = [r for r in last if r["stopped"] is None]
+    assert len(best) == 1 and best[0]["mean_average_precision"] == tuned.best_score == max(r["mean_average_precision"] for r in last)
+    assert all(abs(sum(r["fold_scores"]) / 2 - r["mean_average_precision"]) < 1e-12 for r in rows)
+    assert (tuned.best.depth, tuned.best.rate, tuned.best.trees) == (best[0]["depth"], best[0]["rate"], 4)
+
+
+def test_survivors_and_rungs():
+    assert survivors({0: 0.1, 1: None, 2: 0.5, 3: 0.5, 4: 0.2}, 0.5) == [2, 3, 4]
+    assert survivors({3: None, 1: None}, 0.5) == [1, 3]
+    assert survivors({7: 0.3}, 0.0) == [7]
+    assert [(r.share, r.trees) for r in rungs_of(3, 0.5, 12)] == [(0.25, 3), (0.5, 6), (1.0, 12)]
+
+
+def test_medians_do_not_see_the_held_out_fold(train_set, monkeypatch):
+    """The encoder is fitted once per rung and fold, on rows of the other folds only, and once on all at the end."""
+    seen = []
+    fit = Pipeline.fit
+
+    def watched(self, rows, *args):
+        if "fold" in rows.columns:
+            seen.append({r["fold"] for r in rows.select("fold").distinct().collect()})
+        return fit(self, rows, *args)
+
+    monkeypatch.setattr(Pipeline, "fit", watched)
+    tune_boosted(train_set, trials=1, trees=2, folds=3, rungs=1)
+    assert sorted(map(sorted, seen)) == [[0, 1], [0, 1, 2], [0, 2], [1, 2]]
+
+
 def test_tuning_ranks_trials(train_set):
-    tuned = tune_boosted(train_set, trials=2, trees=2, folds=2)
+    tuned = tune_boosted(train_set, trials=2, trees=2, folds=2, rungs=1)
     rows = tuned.trials.collect()
     assert len(rows) == 2
     assert tuned.best_score == max(r["mean_average_precision"] for r in rows)

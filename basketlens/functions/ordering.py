@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS_PER_PARTITION = 16
+#: Cut points that the approximate quantiles tell apart, and that are sent to all tasks.
+MOST_CUTS = 4096
 
 
 def hash_rank(
@@ -61,16 +63,19 @@ def running_totals(
     totals: dict[str, str],
     by: Sequence[str] = (),
     descending: bool = False,
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Add ``totals[new] = sum(old)`` over all rows of the ``by`` group up to and with the current one.
 
     ``order`` must be a double, not NULL and unique in its group (aggregate by it
     first). The cut points are approximate quantiles of ``order`` over all groups;
-    they steer the work, not the result. Groups should be few: their bucket totals
-    (``buckets`` rows each) are what is joined back.
+    they steer the work, not the result. Their number follows the session's shuffle
+    partitions. Groups should be few: their bucket totals (``buckets`` rows each) are what
+    is joined back. ``df`` is read three times; pass a stored table.
     """
     by = list(by)
+    if buckets is None:
+        buckets = min(MOST_CUTS, BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     way = "DESC" if descending else "ASC"
     comma = "".join(f"{c}, " for c in by)

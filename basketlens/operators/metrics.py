@@ -2,7 +2,8 @@
 
 The ranking metrics group by score first (ties become one step) and then need
 running counts in score order, which ``running_totals`` computes without a
-one-task sort. A metric that is undefined for a one-class input is NULL.
+one-task sort. The scored table is read once: what is kept of it are the counts
+per distinct score, stored in the shared folder when the metric is asked for. A metric that is undefined for a one-class input is NULL.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from basketlens.functions.ordering import running_totals
 from basketlens.functions.sql import named, ratio
+from basketlens.session import shared_dir
 
 
 def hard_label(score: str, threshold: float = 0.5) -> str:
@@ -50,7 +52,8 @@ def _score_steps(df: DataFrame, label: str, score: str, by: Sequence[str]) -> Da
         .groupBy(*by, "score")
         .agg(*named(pos="sum(y)", neg="sum(1 - y)"))
     )
-    return running_totals(steps, "score", {"tp": "pos", "fp": "neg"}, by, descending=True)
+    shared_dir(df.sparkSession)
+    return running_totals(steps.checkpoint(), "score", {"tp": "pos", "fp": "neg"}, by, descending=True)
 
 
 def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score", by: Sequence[str] = ()) -> DataFrame:

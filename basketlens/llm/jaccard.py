@@ -50,6 +50,8 @@ from basketlens.llm.repeats import _BYTE_HASH, _IS_SPACE, _blocks, _bucket, _by_
 
 WORDS = 5
 PERCENT = 75
+#: Below this, partners may share no element of P.
+LEAST_PERCENT = 51
 BLOCK = 1024
 FANOUT = 16
 BITS = 2048
@@ -94,7 +96,7 @@ def enough(n: int, percent: int) -> int:
     """
     m = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
     s = -(-percent * (n + m) // (100 + percent))
-    return max(1, int(np.minimum(half(n) - (n - s), -(-m // 2) - (m - s)).min()))
+    return int(np.minimum(half(n) - (n - s), -(-m // 2) - (m - s)).min())
 
 
 def indexed(n: int, percent: int) -> int:
@@ -396,6 +398,8 @@ def meetings(labelled: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per row of docs: doc_id, n_shingles, component_id (the smallest doc_id that links reach)."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be between {LEAST_PERCENT} and 100")
     n = partitions(docs.sparkSession)
     groups = buckets = 2 * n
     grp = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(groups)).cast("int")

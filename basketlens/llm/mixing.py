@@ -151,13 +151,19 @@ def placed(spark: SparkSession, docs: DataFrame, max_epochs: int, block_words: i
 
 
 def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target (of its source), taken (words), pos."""
+    """Per document: doc_id, source, size, source_size, target (of its source), taken (words).
+
+    first_slot is the earliest slot that takes words of it, null where none does or only
+    slots that follow the schedule.
+    """
     spark = docs.sparkSession
     rows, quota, total = placed(spark, docs, max_epochs, block_words)
     slots = schedule(spark, quota, total, block_words)
     picks = slots.groupBy("key", "block").agg(
         F.count_if(F.col("words") == block_words).alias("whole"),
         F.coalesce(F.sum(F.when(F.col("words") < block_words, F.col("words"))), F.lit(0)).alias("part"),
+        F.min(F.when(F.col("words") == block_words, F.col("slot"))).alias("whole_slot"),
+        F.min(F.when(F.col("words") < block_words, F.col("slot"))).alias("part_slot"),
     )
     end = F.col("pos") + F.col("size")
     blocks = F.sequence(F.floor(F.col("pos") / block_words), F.floor((end - 1) / block_words))
@@ -165,12 +171,15 @@ def mix(docs: DataFrame, max_epochs: int = MAX_EPOCHS, block_words: int = BLOCK_
     first = F.col("block") * block_words
     lo, hi = F.greatest("pos", first), F.least(end, first + block_words)
     taken = F.col("whole") * (hi - lo) + F.greatest(F.least(hi, first + F.col("part")) - lo, F.lit(0))
-    pieces = pieces.join(picks, ["key", "block"], "left").withColumn("taken", F.coalesce(taken, F.lit(0)))
+    reached = F.when(lo < first + F.col("part"), F.least("whole_slot", "part_slot")).otherwise(F.col("whole_slot"))
+    pieces = pieces.join(picks, ["key", "block"], "left").withColumns({"slot": reached, "taken": F.coalesce(taken, F.lit(0))})
     same = ["doc_id", "source", "key", "pos", "size", "source_size", "target"]
     # rows that agree in all of these (no words, repeated) stay apart by their count
-    out = pieces.groupBy(*same).agg(F.sum("taken").alias("taken"), F.count_if(F.col("block") == -1).alias("empty"))
+    out = pieces.groupBy(*same).agg(
+        F.sum("taken").alias("taken"), F.min("slot").alias("first_slot"), F.count_if(F.col("block") == -1).alias("empty")
+    )
     out = out.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest("empty", F.lit(1).cast("long")))))
-    return out.select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "first_slot")
 
 
 def mixed_documents(docs: DataFrame, max_epochs: int = MAX_EPOCHS, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -180,11 +189,16 @@ def mixed_documents(docs: DataFrame, max_epochs: int = MAX_EPOCHS, block_words:
     target ends) make one more row with that many first words, joined by spaces, and
     n_chars counted anew. A document that the mix does not take is not there.
     """
-    takes = mix(docs, max_epochs, block_words).where("taken > 0").groupBy("doc_id", "size").agg(F.max("taken").alias("__taken"))
+    # rows that agree in source, id and size take their turns, so that no row gets what another one takes
+    turn = lambda order: F.row_number().over(Window.partitionBy("__name").orderBy(order))
+    name = lambda size: F.concat_ws(
+        ":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), size.cast("string"), F.when(F.col("source").isNull(), "").otherwise(F.concat(F.lit("s"), "source"))
+    )
+    takes = mix(docs, max_epochs, block_words).withColumn("__name", name(F.col("size")))
+    takes = takes.select("__name", turn(F.desc("taken")).alias("__turn"), F.col("taken").alias("__taken")).where("__taken > 0")
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumn("__size", size)
-    takes = takes.withColumnsRenamed({"doc_id": "__doc", "size": "__words"})
-    rows = rows.join(takes, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__size") == F.col("__words")))
+    rows = docs.withColumns({"__size": size, "__name": name(size)})
+    rows = rows.withColumn("__turn", turn(F.md5(F.coalesce("text", F.lit(""))))).join(takes, ["__name", "__turn"])
     times = F.ceil(F.col("__taken") / F.col("__size"))
     rows = rows.withColumn("__time", F.explode(F.sequence(F.lit(1).cast("long"), times)))
     rest = (F.col("__taken") - (F.col("__time") - 1) * F.col("__size")).cast("int")

@@ -152,3 +152,61 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, node::INTEGER AS shard,
        NULL::INTEGER AS grown_shard
 FROM parted JOIN points3 USING (digest, part)
 """
+
+
+#: The mix in closed form: words of a source are taken in md5 order, whole passes first, then its start; slots by the
+#: bits of their number, reversed.
+MIXING_SQL = """
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS digest
+  FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighted AS (
+  SELECT *, ((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1)::DOUBLE AS weight,
+         (3 * source_size)::DOUBLE AS cap, (SELECT sum(size) FROM sized)::DOUBLE AS total FROM sources),
+filled AS (
+  SELECT *, (total - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighted WINDOW o AS (ORDER BY cap / weight, source IS NULL, encode(source))),
+leveled AS (
+  SELECT source, source_size, CASE WHEN cap < level * weight THEN cap ELSE weight * (
+    SELECT arg_min(level, cap / weight) FROM filled WHERE NOT cap < level * weight) END AS target FROM filled),
+ordered AS (
+  SELECT s.*, l.source_size, l.target, floor(l.target)::BIGINT AS words,
+         coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY digest, doc_id, size
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
+  FROM sized s JOIN leveled l ON s.source IS NOT DISTINCT FROM l.source),
+scheduled AS (
+  SELECT *, coalesce(lag(hi) OVER (ORDER BY source IS NULL, encode(source)), 0) AS lo FROM (
+    SELECT source, source_size, floor(target)::BIGINT AS words, ceil(source_size / 256)::BIGINT AS blocks,
+           CASE WHEN lead(target) OVER o IS NULL THEN 1.0
+                ELSE (sum(target) OVER o / (SELECT sum(target) FROM leveled WHERE target > 0)) END::DOUBLE AS hi
+    FROM leveled WHERE target > 0 WINDOW o AS (ORDER BY source IS NULL, encode(source)))),
+points AS (
+  SELECT i AS slot, ('0b' || reverse(lpad(bin(i), 52, '0')))::BIGINT::DOUBLE / 4503599627370496 AS point
+  FROM range((SELECT ceil(sum(size) / 256)::BIGINT FROM sized)) AS r(i)),
+ranked AS (
+  SELECT slot, source, source_size, words, blocks, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+  FROM points JOIN scheduled ON point >= lo AND point < hi),
+dealt AS (
+  SELECT slot, source, rank % blocks AS block,
+         CASE WHEN rank // blocks < words // source_size THEN 256 ELSE least(256, words % source_size - rank % blocks * 256) END AS n
+  FROM ranked WHERE rank < words // source_size * blocks + ceil(words % source_size / 256)),
+picked AS (
+  SELECT source, block, min(slot) FILTER (n = 256) AS whole_slot, min(slot) FILTER (n < 256) AS part_slot,
+         coalesce(sum(n) FILTER (n < 256), 0) AS part
+  FROM dealt GROUP BY source, block),
+reached AS (
+  SELECT o.source, o.doc_id, o.size, o.pos,
+         min(CASE WHEN greatest(o.pos, p.block * 256) < p.block * 256 + part THEN least(whole_slot, part_slot) ELSE whole_slot END) AS first_slot
+  FROM ordered o JOIN picked p ON o.source IS NOT DISTINCT FROM p.source AND o.size > 0
+   AND p.block BETWEEN o.pos // 256 AND (o.pos + o.size - 1) // 256
+  GROUP BY o.source, o.doc_id, o.size, o.pos)
+SELECT o.doc_id, o.size, o.source_size, o.target,
+       CASE WHEN o.size = 0 THEN 0 ELSE (words // source_size) * o.size
+            + greatest(least(o.pos + o.size, words % source_size) - o.pos, 0) END::BIGINT AS taken,
+       first_slot
+FROM ordered o LEFT JOIN reached r
+  ON o.size > 0 AND r.source IS NOT DISTINCT FROM o.source AND r.doc_id IS NOT DISTINCT FROM o.doc_id AND r.size = o.size AND r.pos = o.pos
+"""

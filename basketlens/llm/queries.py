@@ -84,7 +84,7 @@ def op4_token_file(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op11_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
@@ -121,36 +121,8 @@ QUERIES = {
     "op13_importance": op13_importance,
 }
 
-#: The mix in closed form: words of a source are taken in md5 order, whole passes first, then its start.
-MIXING_SQL = """
-WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-         md5(concat('mix:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS digest
-  FROM documents),
-sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
-weighted AS (
-  SELECT *, ((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1)::DOUBLE AS weight,
-         (3 * source_size)::DOUBLE AS cap, (SELECT sum(size) FROM sized)::DOUBLE AS total FROM sources),
-filled AS (
-  SELECT *, (total - coalesce(sum(cap) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-            / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
-  FROM weighted WINDOW o AS (ORDER BY cap / weight, source IS NULL, encode(source))),
-leveled AS (
-  SELECT source, source_size, CASE WHEN cap < level * weight THEN cap ELSE weight * (
-    SELECT arg_min(level, cap / weight) FROM filled WHERE NOT cap < level * weight) END AS target FROM filled),
-ordered AS (
-  SELECT s.*, l.source_size, l.target, floor(l.target)::BIGINT AS words,
-         coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY digest, doc_id, size
-                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
-  FROM sized s JOIN leveled l ON s.source IS NOT DISTINCT FROM l.source)
-SELECT doc_id, size, source_size, target,
-       CASE WHEN size = 0 THEN 0 ELSE (words // source_size) * size
-            + greatest(least(pos + size, words % source_size) - pos, 0) END::BIGINT AS taken
-FROM ordered
-"""
-
 ORACLE = {
-    "op10_mixing": MIXING_SQL,
+    "op10_mixing": oracle.MIXING_SQL,
     "op11_kd_shards": oracle.KD_SHARDS_SQL,
     "op12_prefix_trie": oracle.TRIE_SQL,
     "op13_importance": oracle.IMPORTANCE_SQL,

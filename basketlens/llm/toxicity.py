@@ -34,8 +34,6 @@ MAX_WORDS = 6_000
 #: Letters of the stems of longer words.
 STEMS = (4, 5, 6)
 MIN_ROWS = 5
-#: Words in more than this share of the texts are function words.
-MAX_SHARE = 0.15
 L1 = 2e-4
 COUNTERFACTUAL = 1.0
 STEPS = 250
@@ -89,7 +87,10 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("double").alias("toxic"))
     picked = known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(TRAIN_ROWS)
     # at most TRAIN_ROWS rows of two numbers
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic")
+    met = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    # one row per document, whatever repeats its id: the text of least digest
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    return met.groupBy("doc_id").agg(F.min_by("text", digest).alias("text"), F.max("toxic").alias("toxic"))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -103,7 +104,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         share = (positive or 0.0) / n if n else 0.0
         return Model({}, float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     counts = bags.select(F.explode("words").alias("w"), "toxic").groupBy("w").agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
-    counts = counts.where(F.col("n").between(MIN_ROWS, max(MIN_ROWS, int(n * MAX_SHARE))))
+    counts = counts.where(F.col("n") >= MIN_ROWS)
     share = positive / n
     surprise = F.abs(F.col("t") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share))
     vocabulary = sorted(r["w"] for r in counts.orderBy(F.desc(surprise), "w").limit(MAX_WORDS).collect())

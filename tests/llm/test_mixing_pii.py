@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.llm import mixing, pii
-from basketlens.llm.queries import MIXING_SQL
+from basketlens.llm.oracle import MIXING_SQL
 
 DOCS = "doc_id long, text string, source string, n_chars long"
 
@@ -23,14 +23,15 @@ def mix_rows():
 @pytest.mark.parametrize("block", [7, 256])
 def test_mix_equals_sql_and_meets_targets(spark, block):
     docs = spark.createDataFrame(mix_rows(), DOCS).withColumn("key", F.lit("clash"))
-    got = mixing.mix(docs, block_words=block).select("doc_id", "size", "source_size", "target", "taken").collect()
+    columns = ["doc_id", "size", "source_size", "target", "taken", *(["first_slot"] if block == 256 else [])]
+    got = mixing.mix(docs, block_words=block).select(*columns).collect()
     con = duckdb.connect()
     con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR, n_chars BIGINT)")
     con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", mix_rows())
-    expected = con.execute(MIXING_SQL).fetchall()
-    assert sorted(map(tuple, got)) == sorted(expected)
+    expected = [r[: len(columns)] for r in con.execute(MIXING_SQL).fetchall()]
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
     by = {}
-    for _, size, source_size, target, taken in expected:
+    for _, size, source_size, target, taken, *_ in expected:
         assert taken <= 3 * size
         by[(source_size, target)] = by.get((source_size, target), 0) + taken
     assert all(abs(taken - target) <= 1 for (_, target), taken in by.items())
@@ -53,6 +54,24 @@ def test_mixed_documents_hold_the_taken_words(spark):
     assert {r["source"]: r["n"] for r in words} == {r["source"]: r["n"] for r in taken if r["n"]}
 
 
+def test_rows_without_id_and_repeated_rows_meet_their_targets(spark):
+    """Rows that agree in id and size are told apart, within a source and between sources."""
+    rows = [(None, "w " * 11, s, 1) for s in ("a", "b") for _ in range(30)] + [(7, "x " * 300, "c", 1), (7, "y " * 300, "c", 1), (None, None, "a", 0)]
+    docs = spark.createDataFrame(rows, DOCS)
+    taken = {r["source"]: r["n"] for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("n")).collect()}
+    mixed = mixing.mixed_documents(docs).groupBy("source").agg(F.sum(F.regexp_count("text", F.lit(r"\S+"))).alias("n")).collect()
+    assert {r["source"]: r["n"] for r in mixed} == taken
+
+
+def test_slots_follow_the_reversed_bits(spark):
+    """The first slot of one source of two equal ones is slot 0 or 1, and its documents come in steps of two."""
+    rows = [(i, "w " * 256, "ab"[i % 2], 1) for i in range(64)]
+    got = mixing.mix(spark.createDataFrame(rows, DOCS)).collect()
+    firsts = {s: sorted(r["first_slot"] for r in got if r["source"] == s and r["first_slot"] is not None) for s in "ab"}
+    assert firsts["a"][0] == 0 and firsts["b"][0] == 1
+    assert max(b - a for f in firsts.values() for a, b in zip(f, f[1:])) <= 4
+
+
 def test_mix_of_empty_table(spark):
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
     assert mixing.mixed_documents(spark.createDataFrame([], DOCS)).count() == 0

@@ -283,3 +283,18 @@ def test_balanced_parts():
     x = np.random.default_rng(1).normal(size=(640, 8))
     parts = learned_index.balanced_parts(x, learned_index.neighbour_graph(x, 6), 8)
     assert np.bincount(parts).tolist() == [80] * 8
+
+
+def test_jaccard_refuses_shares_that_the_filter_cannot_bound(spark):
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    for percent in (50, 101):
+        with pytest.raises(ValueError, match="percent"):
+            jaccard.near_duplicates(docs, percent)
+
+
+def test_toxicity_sample_has_one_row_per_document(spark):
+    docs = spark.createDataFrame([(i % 40, f"text {i}") for i in range(4000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 40, 0, i % 2) for i in range(80)], "doc_id long, quality int, toxic int")
+    rows = toxicity.labelled(docs, labels).collect()
+    assert len(rows) == len({r["doc_id"] for r in rows}) <= 40
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, toxicity.labelled(docs.repartition(7), labels).collect()))

@@ -54,6 +54,17 @@ def test_stages_bear_null_and_empty_texts(spark):
     assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def test_repeated_ids_keep_their_different_texts(spark):
+    rows = [(1, "alpha beta gamma delta epsilon zeta", "en", "a", 1), (2, "alpha beta gamma delta epsilon zeta", "en", "a", 1)]
+    rows += [(3, "alpha beta gamma delta epsilon zeta", "en", "a", 1), (3, "quite another text of six words", "en", "b", 1)]
+    rows += [(3, "quite another text of six words", "de", "a", 1), (None, "no id", None, None, None), (None, "no id", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs, FOLDER).collect()), key=str)
+    assert got.count((None, "no id", None, None, None)) == 2
+    assert [r[0] for r in got if r[0] is not None] == [1, 3, 3]
+    assert (3, "quite another text of six words", "de", "a", 1) in got
+
+
 def test_registered():
     names = queries()
     assert "pipeline" in names

@@ -5,14 +5,15 @@ its result is written as Parquet to the shared folder and read again, so a lost
 costs at most one stage's tasks. All but the last keep the columns of documents. What a
 stage leaves in the shared folder besides its result is deleted when the next one starts.
 
-Rows: null texts count as empty and pass all filters; rows of one doc_id are one
-document for deduplication; an empty table gives an empty result.
+Rows: null texts count as empty and pass all filters; rows of one doc_id and one text are
+one document for deduplication; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from basketlens.llm import jaccard, mixing, pii, toxicity
 from basketlens.llm.common import stage, table, written
@@ -32,10 +33,16 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one of smallest doc_id (rows without an id all stay)."""
+    """One document of each group of near duplicates: the one of smallest doc_id (rows without an id all stay).
+
+    Rows that repeat both id and text are one document, the first by its other columns;
+    different texts under one id all stay if one of them does.
+    """
     groups = jaccard.near_duplicates(docs)
     kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    digest, rest = F.md5(F.coalesce("text", F.lit(""))), [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.row_number().over(Window.partitionBy("doc_id", digest).orderBy(*rest, "doc_id"))
+    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").withColumn("__first", first).where("__first = 1")
     return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 

@@ -2,17 +2,19 @@
 
 Checks that look at rows one by one, and one uniqueness check, share a single pass
 over a table. Key references and further uniqueness checks take a shuffle each.
+Where a table is written anyway, its row-level checks are counted while the rows go by.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketlens.functions.sql import named, not_in, quoted
+from basketlens.sources.layers import Layer
 
 RESULT_COLUMNS = ["table_name", "column_name", "check_name", "observed", "threshold", "failed_rows", "success", "position"]
 
@@ -144,6 +146,12 @@ def _one_pass(suite: Suite, checks: list[Check], unique: Unique | None) -> DataF
     results = []
     if unique is not None:
         results.append(_result(suite, unique, "repeated_keys", 0, "repeated_rows", "repeated_keys = 0"))
+    return _rows(wide, [*results, *_row_results(suite, checks)])
+
+
+def _row_results(suite: Suite, checks: list[Check]) -> list[str]:
+    """Results of row-level checks from ``n`` rows and the failures ``f0``, ``f1``..."""
+    results = []
     for i, check in enumerate(checks):
         failed = f"f{i}"
         if isinstance(check, RowCount):
@@ -153,7 +161,7 @@ def _one_pass(suite: Suite, checks: list[Check], unique: Unique | None) -> DataF
             results.append(_result(suite, check, share, check.mostly, failed, f"{share} >= {check.mostly}D"))
         else:
             results.append(_result(suite, check, failed, 0, failed, f"{failed} = 0"))
-    return _rows(wide, results)
+    return results
 
 
 def _own_shuffle(suite: Suite, check: Unique | References) -> DataFrame:
@@ -178,6 +186,27 @@ def run_suite(suite: Suite) -> DataFrame:
     return out
 
 
+def replace_checked(layer: Layer, suite: Suite) -> DataFrame:
+    """Write a suite's table to a layer and check it; one result row per check.
+
+    Row-level checks are observed on the way to the writer and cost no scan. Uniqueness and
+    references read the column they are about from the written table.
+    """
+    checks = [c for c in suite.checks if not isinstance(c, (Unique, References))]
+    wanted = named(n="count(1)", **{f"f{i}": _failures(c) for i, c in enumerate(checks)})
+    watch = Observation()
+    layer.replace(suite.table, suite.df.observe(watch, *wanted))
+    stored = replace(suite, df=layer.read(suite.table))
+    spark = suite.df.sparkSession
+    counts = spark.createDataFrame([tuple(watch.get[c] for c in watch.get)], ", ".join(f"{c} long" for c in watch.get))
+    parts = [_rows(counts, _row_results(stored, checks))] if checks else []
+    parts += [_own_shuffle(stored, c) for c in suite.checks if isinstance(c, (Unique, References))]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def run_checkpoint(suites: Sequence[Suite]) -> DataFrame:
     """Results of all suites."""
     out = run_suite(suites[0])

@@ -6,6 +6,8 @@ import pytest
 
 from basketlens.operators import experiments as ex
 from basketlens.operators import quality as q
+from basketlens.session import scratch_path
+from basketlens.sources.layers import FolderLayer
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +114,27 @@ def test_p_values_of_known_normal_tails(spark):
     known = {0.0: 1.0, 1.0: 0.31731050786, 1.959963984540054: 0.05, 2.5758293035489: 0.01, -3.0: 0.00269979606, 5.0: 5.733031e-7}
     rows = spark.createDataFrame([(z,) for z in known], "z double").select("z", *named(p=two_sided_p("z"))).collect()
     assert all(abs(r["p"] - known[r["z"]]) <= 3e-7 * known[r["z"]] for r in rows)
+
+
+def test_checks_while_writing_equal_checks_of_the_table(spark):
+    rows = [(i, None if i % 10 == 0 else "ab"[i % 2], i % 7) for i in range(100)] + [(5, "c", None)]
+    df = spark.createDataFrame(rows, "id long, kind string, ref int")
+    parent = spark.createDataFrame([(i,) for i in range(6)], "k int")
+    checks = (
+        q.NotNull("kind", 0.8), q.Unique("id"), q.RowCount(1, 50), q.Accepted("kind", ("a", "b")),
+        q.References("ref", parent, "k"),
+    )
+    layer = FolderLayer(spark, scratch_path(spark, "checked"))
+    for table, frame in (("some", df), ("none", df.limit(0))):
+        suite = q.Suite(table, frame, checks)
+        got = q.replace_checked(layer, suite)
+        assert got.columns == q.RESULT_COLUMNS
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, q.run_suite(suite).collect()))
+        assert layer.read(table).count() == frame.count()
+
+
+def test_row_level_checks_of_a_written_table_scan_nothing(spark):
+    suite = q.Suite("t", spark.range(9).selectExpr("id", "id % 2 AS k"), (q.NotNull("k"), q.RowCount(1, 9)))
+    got = q.replace_checked(FolderLayer(spark, scratch_path(spark, "checked")), suite)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and [r["success"] for r in got.collect()] == [True, True]

@@ -494,8 +494,7 @@ def _tables(spark, sf) -> dict[str, Callable[[], DataFrame]]:
     }
 
 
-def _suites(spark, sf, declared: Sequence[tuple], facts: DataFrame | None = None) -> list[quality.Suite]:
-    """Suites by table; marts of sessions read ``facts`` if it is given."""
+def _suites(spark, sf, declared: Sequence[tuple]) -> list[quality.Suite]:
     tables = _tables(spark, sf)
     frames: dict[str, DataFrame] = {}
 
@@ -504,7 +503,12 @@ def _suites(spark, sf, declared: Sequence[tuple], facts: DataFrame | None = None
             frames[name] = tables[name]()
         return frames[name]
 
-    if facts is not None:
+    if any(table == "fct_sessions" for table, *_ in declared):
+        # Two checks and two marts read the sessions: write them once, as a mart build does.
+        layer = FolderLayer(spark, scratch_path(spark, "checked"))
+        layer.replace("fct_sessions", tables["fct_sessions"]())
+        facts = layer.read("fct_sessions")
+        frames["fct_sessions"] = facts
         tables |= {"mart_funnel": lambda: sessions.mart_funnel(facts), "mart_retention": lambda: sessions.mart_retention(facts)}
 
     def check(column: str, kind: str, arg) -> quality.Check:
@@ -573,18 +577,21 @@ def dq_suite(spark, sf):
 
 @query
 def dq_checkpoint(spark, sf):
-    """All declared table checks in one result; marts are checked as they are written."""
-    layer = FolderLayer(spark, scratch_path(spark, "checked"))
-    stored = ("fct_sessions", "mart_funnel", "mart_retention", "mart_churn_features", "churn_features", "churn_labels")
-    first = [c for c in FEATURE_CHECKS if c[0] == "fct_sessions"]
-    results = [quality.replace_checked(layer, suite) for suite in _suites(spark, sf, first)]
-    rest = [c for c in FEATURE_CHECKS if c[0] != "fct_sessions"]
-    suites = _suites(spark, sf, rest, layer.read("fct_sessions"))
-    with ThreadPool(len(stored)) as pool:
-        write = inheritable_thread_target(spark)(lambda suite: quality.replace_checked(layer, suite))
-        results += pool.map(write, [s for s in suites if s.table in stored])
-    views = quality.run_checkpoint([s for s in suites if s.table not in stored])
-    return functools.reduce(DataFrame.unionByName, results, views)
+    """All declared table checks in one result."""
+    return quality.run_checkpoint(_suites(spark, sf, FEATURE_CHECKS))
+
+
+#: Checks of marts that a build writes.
+MART_CHECKS = [c for c in FEATURE_CHECKS if c[0] in ("mart_churn_features", "churn_features", "churn_labels")]
+
+
+@query
+def dq_while_writing(spark, sf):
+    """The checks of the feature marts, counted while the marts are written (several at a time)."""
+    layer, suites = FolderLayer(spark, scratch_path(spark, "checked")), _suites(spark, sf, MART_CHECKS)
+    with ThreadPool(len(suites)) as pool:
+        results = pool.map(inheritable_thread_target(spark)(lambda suite: quality.replace_checked(layer, suite)), suites)
+    return functools.reduce(DataFrame.unionByName, results)
 
 
 @query

@@ -14,7 +14,7 @@ from basketlens.operators import experiments
 from basketlens.operators.churn import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from basketlens.operators.drift import DRIFT_FEATURES
 from basketlens.plans.catalog import (
-    EXPECTATIONS, FEATURE_CHECKS, KNOWN_INTERCEPT, KNOWN_WEIGHTS, LEGACY_CUTOFF, SALT, SCORE_SNAPSHOT, SEED,
+    EXPECTATIONS, FEATURE_CHECKS, KNOWN_INTERCEPT, KNOWN_WEIGHTS, LEGACY_CUTOFF, MART_CHECKS, SALT, SCORE_SNAPSHOT, SEED,
     TRAIN_SNAPSHOT,
 )
 from basketlens.sources.starschema import BROWSER_BY_NUMBER, EVENT_SHIFT_DAYS, SOURCE_BY_NUMBER, SOURCE_BY_SEGMENT
@@ -439,6 +439,7 @@ QUERY_SQL: dict[str, str] = {
     "dq_row_count": _checks_sql([("stg_users", "*", "row_count", (1, 10_000_000)), ("stg_products", "*", "row_count", (1, 100))]),
     "dq_suite": _checks_sql(EXPECTATIONS),
     "dq_checkpoint": _checks_sql(FEATURE_CHECKS),
+    "dq_while_writing": _checks_sql(MART_CHECKS),
     "dq_summary": f"""
     SELECT count(*) AS checks, count(CASE WHEN NOT success THEN 1 END) AS failed_checks, bool_and(success) AS success
     FROM ({_checks_sql(EXPECTATIONS)})""",

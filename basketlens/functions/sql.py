@@ -105,9 +105,12 @@ def not_in(c: str, values) -> str:
 def exact_sum(price: str, scale: int = 10) -> str:
     """Sum of money as stored, as a double: added in decimal so that row order cannot matter.
 
-    ``scale`` decimals are kept, which is more than a stored price has.
+    ``scale`` decimals are kept, which is more than a stored price has; what is smaller counts
+    as 0. Where a value is no money (NaN, infinite, 1e17 or more) doubles are added.
     """
-    return f"CAST(sum(CAST({price} AS DECIMAL(28, {scale}))) AS DOUBLE)"
+    fits = f"(abs({price}) < 1e17D)"
+    cents = f"CAST(sum(CAST(CASE WHEN {fits} THEN {price} END AS DECIMAL(28, {scale}))) AS DOUBLE)"
+    return f"CASE WHEN count_if(NOT {fits}) > 0 THEN sum(CAST({price} AS DOUBLE)) ELSE {cents} END"
 
 
 def hash_bucket(salt: str, key: str, buckets: int) -> str:

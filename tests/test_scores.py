@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.functions.ordering import hash_rank, running_totals
+from basketlens.functions.sql import exact_sum
 from basketlens.operators import actions, dashboards, drift, metrics, prep
 
 
@@ -162,3 +165,10 @@ def test_drift_zero_mean_and_nulls(spark):
     density = drift.drift_density(one, one, ["b"], points=400, cut=8).filter("side = 'current'").orderBy("point").collect()
     step = density[1]["x"] - density[0]["x"]
     assert sum(r["density"] for r in density) * step == pytest.approx(1.0, abs=1e-6)
+
+
+def test_exact_sum_of_what_is_no_money(spark):
+    rows = [("a", 0.1), ("a", 0.2), ("b", float("nan")), ("b", 1.0), ("c", 1e19), ("c", 1.0), ("d", None), ("e", float("inf")), ("e", 2.0)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r["k"]: r["s"] for r in df.groupBy("k").agg(F.expr(exact_sum("x")).alias("s")).collect()}
+    assert got["a"] == 0.3 and math.isnan(got["b"]) and got["c"] == 1e19 and got["d"] is None and got["e"] == float("inf")

@@ -586,8 +586,8 @@ MART_CHECKS = [c for c in FEATURE_CHECKS if c[0] in ("mart_churn_features", "chu
 
 
 @query
-def dq_while_writing(spark, sf):
-    """The checks of the feature marts, counted while the marts are written (several at a time)."""
+def dq_written_marts(spark, sf):
+    """The checks of the feature marts as a build runs them: on the written marts, several at a time."""
     layer, suites = FolderLayer(spark, scratch_path(spark, "checked")), _suites(spark, sf, MART_CHECKS)
     with ThreadPool(len(suites)) as pool:
         results = pool.map(inheritable_thread_target(spark)(lambda suite: quality.replace_checked(layer, suite)), suites)

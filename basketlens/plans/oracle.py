@@ -439,7 +439,7 @@ QUERY_SQL: dict[str, str] = {
     "dq_row_count": _checks_sql([("stg_users", "*", "row_count", (1, 10_000_000)), ("stg_products", "*", "row_count", (1, 100))]),
     "dq_suite": _checks_sql(EXPECTATIONS),
     "dq_checkpoint": _checks_sql(FEATURE_CHECKS),
-    "dq_while_writing": _checks_sql(MART_CHECKS),
+    "dq_written_marts": _checks_sql(MART_CHECKS),
     "dq_summary": f"""
     SELECT count(*) AS checks, count(CASE WHEN NOT success THEN 1 END) AS failed_checks, bool_and(success) AS success
     FROM ({_checks_sql(EXPECTATIONS)})""",

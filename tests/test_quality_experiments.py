@@ -116,7 +116,7 @@ def test_p_values_of_known_normal_tails(spark):
     assert all(abs(r["p"] - known[r["z"]]) <= 3e-7 * known[r["z"]] for r in rows)
 
 
-def test_checks_while_writing_equal_checks_of_the_table(spark):
+def test_checks_of_the_written_table_equal_checks_of_its_plan(spark):
     rows = [(i, None if i % 10 == 0 else "ab"[i % 2], i % 7) for i in range(100)] + [(5, "c", None)]
     df = spark.createDataFrame(rows, "id long, kind string, ref int")
     parent = spark.createDataFrame([(i,) for i in range(6)], "k int")
@@ -131,10 +131,3 @@ def test_checks_while_writing_equal_checks_of_the_table(spark):
         assert got.columns == q.RESULT_COLUMNS
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, q.run_suite(suite).collect()))
         assert layer.read(table).count() == frame.count()
-
-
-def test_row_level_checks_of_a_written_table_scan_nothing(spark):
-    suite = q.Suite("t", spark.range(9).selectExpr("id", "id % 2 AS k"), (q.NotNull("k"), q.RowCount(1, 9)))
-    got = q.replace_checked(FolderLayer(spark, scratch_path(spark, "checked")), suite)
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan" not in plan and [r["success"] for r in got.collect()] == [True, True]

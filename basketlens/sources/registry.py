@@ -1,7 +1,8 @@
-"""Model registry and run log as tables of a layer folder."""
+"""Model registry and run log: saved models, and commits that say what they are."""
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -9,19 +10,27 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.sources.commits import CommitLog
 from basketlens.sources.layers import FolderLayer
 
-VERSIONS = "model_versions"
-RUNS = "runs"
-RUN_VALUES = "run_values"
+LOG = "commits"
+ENTRY = (
+    "commit long, kind string, name string, version long, path string, run_id string, experiment string, "
+    "run_name string, params map<string, string>, metrics map<string, double>, micros long"
+)
+
+
+def _micros() -> int:
+    return time.time_ns() // 1000
 
 
 @dataclass(frozen=True)
 class ModelRegistry:
     """Saved pipeline models by name and version, and runs with params and metrics.
 
-    Versions are given by one training job at a time; two jobs registering the
-    same name at once would need a table format with transactions.
+    A model is saved under a path of its own first; a commit then gives it its version, or
+    shows its run with all params and metrics. Jobs may register and log at the same time: each
+    gets its own version (see ``CommitLog``). A job that ends in between leaves an unused folder.
     """
 
     layer: FolderLayer
@@ -30,27 +39,34 @@ class ModelRegistry:
     def spark(self):
         return self.layer.spark
 
-    def _table(self, name: str, schema: str) -> DataFrame:
-        """The table, or none of its rows if it was never written; a table that cannot be read is an error."""
-        if not self.layer.exists(name):
-            return self.spark.createDataFrame([], schema)
-        return self.layer.read(name)
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.spark, self.layer.path(LOG))
+
+    def _save(self, model: PipelineModel, group: str) -> str:
+        path = f"{self.layer.path('models')}/{group}/{uuid.uuid4().hex}"
+        model.write().save(path)
+        return path
 
     def versions(self) -> DataFrame:
-        return self._table(VERSIONS, "name string, version long, path string, registered_at timestamp")
+        found = self.log.read(ENTRY).filter("kind = 'version'")
+        return found.selectExpr("name", "version", "path", "timestamp_micros(micros) AS registered_at")
 
     def latest(self, name: str) -> DataFrame:
         """The row of the highest version of a model, or no row."""
         return self.versions().filter(F.col("name") == name).orderBy(F.col("version").desc()).limit(1)
 
     def register(self, name: str, model: PipelineModel) -> int:
-        last = self.latest(name).first()
-        version = last["version"] + 1 if last else 1
-        path = f"{self.layer.path('models')}/{name}/v={version}"
-        model.write().save(path)  # a version that is there already is an error
-        row = self.spark.createDataFrame([(name, version, path)], "name string, version long, path string")
-        self.layer.append(VERSIONS, row.withColumn("registered_at", F.current_timestamp()))
-        return version
+        """Save a model as the next version of its name."""
+        path, given = self._save(model, name), []
+
+        def entry() -> dict[str, object]:
+            last = self.latest(name).first()
+            given.append(last["version"] + 1 if last else 1)
+            return {"kind": "version", "name": name, "version": given[-1], "path": path, "micros": _micros()}
+
+        self.log.commit(entry)
+        return given[-1]
 
     def load_latest(self, name: str) -> PipelineModel:
         row = self.latest(name).first()
@@ -59,37 +75,37 @@ class ModelRegistry:
         return PipelineModel.load(row["path"])
 
     def runs(self) -> DataFrame:
-        return self._table(RUNS, "run_id string, experiment string, run_name string, model_path string, start_time timestamp")
+        found = self.log.read(ENTRY).filter("kind = 'run'")
+        return found.selectExpr(
+            "run_id", "experiment", "run_name", "path AS model_path", "timestamp_micros(micros) AS start_time", "commit"
+        )
 
     def log_run(
         self, experiment: str, run_name: str, params: dict[str, object], metrics: DataFrame, model: PipelineModel | None = None
     ) -> str:
-        """Append a run with its params and its (metric, value) rows; returns its id."""
+        """Commit a run with its params and its few (metric, value) rows; returns its id."""
         run_id = uuid.uuid4().hex
-        path = None
-        if model is not None:
-            path = f"{self.layer.path('models')}/runs/{run_id}"
-            model.write().save(path)
-        run = self.spark.createDataFrame(
-            [(run_id, experiment, run_name, path)], "run_id string, experiment string, run_name string, model_path string"
-        )
-        self.layer.append(RUNS, run.withColumn("start_time", F.current_timestamp()))
-        text = self.spark.createDataFrame(
-            [(k, str(v)) for k, v in params.items()], "key string, text string"
-        ).select(F.lit("param").alias("kind"), "key", "text", F.lit(None).cast("double").alias("value"))
-        numbers = metrics.select(
-            F.lit("metric").alias("kind"), F.col("metric").alias("key"), F.lit(None).cast("string").alias("text"), "value"
-        )
-        self.layer.append(RUN_VALUES, text.unionByName(numbers).select(F.lit(run_id).alias("run_id"), "*"))
+        run = {
+            "kind": "run", "run_id": run_id, "experiment": experiment, "run_name": run_name,
+            "path": None if model is None else self._save(model, "runs"),
+            "params": {k: str(v) for k, v in params.items()},
+            "metrics": {r["metric"]: r["value"] for r in metrics.select("metric", "value").collect()},
+            "micros": _micros(),
+        }
+        self.log.commit(lambda: run)
         return run_id
 
     def run_values(self, run_id: str) -> DataFrame:
-        return self.layer.read(RUN_VALUES).filter(F.col("run_id") == run_id)
+        """A row per param (as text) and per metric (as a number) of a run."""
+        run = self.log.read(ENTRY).filter((F.col("kind") == "run") & (F.col("run_id") == run_id))
+        params = run.selectExpr("run_id", "'param' AS kind", "explode(params) AS (key, text)", "CAST(NULL AS DOUBLE) AS value")
+        numbers = run.selectExpr("run_id", "'metric' AS kind", "explode(metrics) AS (key, value)")
+        return params.unionByName(numbers.selectExpr("run_id", "kind", "key", "CAST(NULL AS STRING) AS text", "value"))
 
     def latest_run(self, experiment: str) -> DataFrame:
         """The row of the last started run of an experiment, or no row."""
         own = self.runs().filter(F.col("experiment") == experiment)
-        return own.orderBy(F.col("start_time").desc(), "run_id").limit(1)
+        return own.orderBy(F.col("start_time").desc(), F.col("commit").desc()).limit(1)
 
     def load_latest_run(self, experiment: str) -> PipelineModel:
         row = self.latest_run(experiment).first()

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import math
 from datetime import datetime
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
@@ -10,6 +12,7 @@ from basketlens import schemas
 from basketlens.plans.marts import LoadedSources, MartDates, build_marts
 from basketlens.session import scratch_path, shared_dir
 from basketlens.sources import readers, samples
+from basketlens.sources.commits import CommitLog
 from basketlens.sources.layers import DatabaseLayer, FolderLayer, drop_derived
 from basketlens.sources.registry import ModelRegistry
 
@@ -163,10 +166,58 @@ def _model(spark):
 def test_registry_never_overwrites_and_never_restarts(spark, layer):
     registry = ModelRegistry(layer)
     assert registry.register("m", _model(spark)) == 1
-    _model(spark).write().save(f"{layer.path('models')}/m/v=2")  # another job's version, not yet in the table
-    with pytest.raises(Exception, match="already exists"):
-        registry.register("m", _model(spark))
+    first = registry.latest("m").first()["path"]
+    assert registry.register("m", _model(spark)) == 2
+    assert registry.latest("m").first()["path"] != first and PipelineModel.load(first)
     broken = FolderLayer(spark, scratch_path(spark, "broken"))
-    spark.range(1).selectExpr("cast(id as string)").write.text(broken.path("model_versions"))
+    spark.range(1).selectExpr("'no commit' AS value").write.text(broken.path("commits"))
     with pytest.raises(Exception):
         ModelRegistry(broken).register("m", _model(spark))
+
+
+def test_writers_at_once_get_versions_of_their_own(spark, layer):
+    registry = ModelRegistry(layer)
+    with ThreadPool(4) as pool:
+        given = pool.map(lambda i: registry.register("m", _stub_model(spark, str(i))), range(8))
+    assert sorted(given) == list(range(1, 9))
+    rows = registry.versions().orderBy("version").collect()
+    assert [r["version"] for r in rows] == list(range(1, 9)) and len({r["path"] for r in rows}) == 8
+    assert registry.load_latest("m").transform(spark.range(1)).first()["said"] == str(given.index(8))
+
+
+@pytest.mark.parametrize("way", ["_claim", "_rename"])
+def test_a_number_is_taken_once(spark, tmp_path, way):
+    log = CommitLog(spark, str(tmp_path / "a log"))
+    assert log.last() == 0 and log.read("commit long").count() == 0
+    assert log.commit(lambda: {"who": "a"}) == 1
+
+    def claim(number: int, text: str) -> bool:
+        if way == "_claim":
+            return log._claim(number, text)
+        return log._rename(f"{log.folder}/.hidden", log._path(number), text)
+
+    assert not claim(1, '{"commit": 1, "who": "b"}')
+    assert claim(2, '{"commit": 2, "who": "c"}')
+    assert [tuple(r) for r in log.read("commit long, who string").orderBy("commit").collect()] == [(1, "a"), (2, "c")]
+    assert not [p for p in (tmp_path / "a log").iterdir() if p.name == ".hidden"]
+
+
+def test_a_lost_race_asks_again(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "log"))
+    seen = []
+
+    def entry():
+        seen.append(log.last())
+        if len(seen) == 1:
+            CommitLog(spark, log.folder).commit(lambda: {"who": "faster"})
+        return {"who": "slower"}
+
+    assert log.commit(entry) == 2 and seen == [0, 1]
+
+
+def test_odd_metrics_survive(spark, layer):
+    registry = ModelRegistry(layer)
+    odd = spark.createDataFrame([("nan", float("nan")), ("inf", float("inf")), ("none", None)], "metric string, value double")
+    run = registry.log_run("e", "odd", {}, odd)
+    values = {r["key"]: r["value"] for r in registry.run_values(run).collect()}
+    assert math.isnan(values["nan"]) and values["inf"] == math.inf and values["none"] is None

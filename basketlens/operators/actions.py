@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.sql import quoted
+from basketlens.sources.keyed import KeyedTable
 
 # Action names.
 CALL, COUPON, NO_ACTION = "High Priority Call", "Send Email Coupon", "No Action"
@@ -82,8 +83,13 @@ def is_high_risk(probability: str, limit: float = 0.7) -> str:
     return f"({probability} > {limit}D)"
 
 
-def asked_only(requests: DataFrame, features: DataFrame) -> DataFrame:
-    """The features of users that are asked for: scoring then costs what is asked, not what is stored."""
+def asked_only(requests: DataFrame, features: DataFrame | KeyedTable) -> DataFrame:
+    """The features of users that are asked for: scoring then costs what is asked, not what is stored.
+
+    Of a keyed table only the files that can hold a user asked for are read.
+    """
+    if isinstance(features, KeyedTable):
+        return features.lookup(requests)
     asked = requests.select("user_id").filter("user_id IS NOT NULL").distinct()
     return features.join(asked, "user_id", "left_semi")
 

@@ -24,6 +24,7 @@ from basketlens.plans import scoring, training
 from basketlens.plans.marts import Staged
 from basketlens.session import scratch_path
 from basketlens.sources import readers
+from basketlens.sources.keyed import KeyedTable
 from basketlens.sources.layers import FolderLayer
 from basketlens.sources.registry import ModelRegistry
 from basketlens.sources.starschema import StarSchema
@@ -384,9 +385,10 @@ def score_stream(spark, sf):
     items = StarSchema(spark, sf).raw("lineitem")
     asked = items.selectExpr("l_orderkey AS request_id", "l_partkey AS user_id")
     asked.repartition(4).write.json(layer.path("requests"))
-    layer.replace("features", _scoring(spark, sf))
+    features = KeyedTable(spark, layer.path("features"), "user_id")
+    features.replace(_scoring(spark, sf))
     stream = requests.read_requests(spark, layer.path("requests"), files_per_trigger=2)
-    running = requests.serve(stream, layer.read("features"), _known, layer.path("answers"), layer.path("state"))
+    running = requests.serve(stream, features, _known, layer.path("answers"), layer.path("state"))
     running.awaitTermination()
     return layer.read("answers").drop("batch")
 

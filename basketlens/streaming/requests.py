@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from basketlens.operators.actions import answer_requests, asked_only
 from basketlens.operators.models import score
+from basketlens.sources.keyed import KeyedTable
 
 REQUEST_SCHEMA = "request_id long, user_id long"
 
@@ -21,17 +22,17 @@ def read_requests(spark: SparkSession, folder: str, files_per_trigger: int = 100
     )
 
 
-def answers(requests: DataFrame, features: DataFrame, model: PipelineModel) -> DataFrame:
+def answers(requests: DataFrame, features: DataFrame | KeyedTable, model: PipelineModel) -> DataFrame:
     """Answer a batch of requests; only the features of users asked for are scored."""
     return answer_requests(requests, score(model, asked_only(requests, features)))
 
 
 def serve(
-    requests: DataFrame, features: DataFrame, scoring: Callable[[DataFrame], DataFrame], out: str, checkpoint: str
+    requests: DataFrame, features: DataFrame | KeyedTable, scoring: Callable[[DataFrame], DataFrame], out: str, checkpoint: str
 ) -> StreamingQuery:
     """Answer all requests there are and stop; a later call goes on where this one ended.
 
-    Each micro-batch reduces ``features`` (a written table) to the users it asks for,
+    Each micro-batch reduces ``features`` (a written table, best one by key) to the users it asks for,
     scores those with ``scoring`` and writes its answers to a folder of its own below
     ``out``: a batch that is repeated after a failure replaces what it wrote before.
     """

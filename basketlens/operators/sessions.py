@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.functions.sql import elapsed_seconds, flag, named, ratio, week_start
 
+#: Weeks per long, leaving the sign alone, and longs per user.
+WEEK_BITS, MOST_WORDS = 62, 32
+EPOCH = date(1970, 1, 1)
+
 
 def _any(condition: str) -> str:
     return f"max({flag(condition)})"
@@ -77,26 +83,64 @@ def user_cohorts(sessions: DataFrame) -> DataFrame:
     )
 
 
-def mart_retention(sessions: DataFrame) -> DataFrame:
-    """Active users by cohort week and weeks since then.
+def _first_week(day: date) -> date:
+    return day - timedelta(days=day.weekday())
 
-    Sessions are reduced to each user's set of active weeks in one aggregate (a
-    set no longer than the calendar, merged map-side). The first of the weeks is
-    the cohort, so cohorts need no join back to the activity, and a user appears
-    once per (cohort, period), so counting rows counts users. The cohort size is
-    the count at period 0.
+
+def _user_weeks(timed: DataFrame, first: date, last: date) -> DataFrame:
+    """A row per active week of a user, counted from the week of ``first``, beside the user's first one.
+
+    Weeks are bits of a few longs, merged by ``bit_or``: a buffer of fixed width, so both
+    sides of the shuffle aggregate by hash however many users there are.
     """
-    weeks = (
-        sessions.filter("user_id IS NOT NULL AND session_start_at IS NOT NULL")
+    origin = _first_week(first)
+    words = (_first_week(last) - origin).days // 7 // WEEK_BITS + 1
+    week = f"CAST(datediff({week_start('session_start_at')}, DATE'{origin}') DIV 7 AS INT)"
+    inside = f"week BETWEEN 0 AND {words * WEEK_BITS - 1}"
+    masks = [f"CASE WHEN week DIV {WEEK_BITS} = {i} THEN shiftleft(1L, week % {WEEK_BITS}) ELSE 0L END" for i in range(words)]
+    merged = (
+        timed.selectExpr("user_id", f"{week} AS week")
+        .selectExpr("user_id", f"CASE WHEN {inside} THEN week ELSE raise_error('a session outside the given days') END AS week")
         .groupBy("user_id")
-        .agg(*named(weeks=f"collect_set({week_start('session_start_at')})"))
-        .selectExpr("array_min(weeks) AS cohort_week", "explode(weeks) AS activity_week")
+        .agg(*named(**{f"w{i}": f"bit_or({mask})" for i, mask in enumerate(masks)}))
     )
-    counts = (
-        weeks.selectExpr("cohort_week", "CAST(datediff(activity_week, cohort_week) DIV 7 AS INT) AS period_number")
-        .groupBy("cohort_week", "period_number")
-        .agg(*named(active_users="count(1)"))
+    # The zeros below the lowest bit of a mask are the bits of (mask & -mask) - 1.
+    lowest = ", ".join(f"CASE WHEN w{i} != 0 THEN {i * WEEK_BITS} + bit_count((w{i} & -w{i}) - 1) END" for i in range(words))
+    pairs = ", ".join(f"struct({i} AS word, w{i} AS mask)" for i in range(words))
+    return (
+        merged.selectExpr(f"coalesce({lowest}) AS cohort", f"explode(filter(array({pairs}), p -> p.mask != 0)) AS p")
+        .selectExpr("cohort", "p.word", f"explode(filter(sequence(0, {WEEK_BITS - 1}), b -> getbit(p.mask, b) = 1)) AS bit")
+        .selectExpr(f"date_add(DATE'{origin}', 7 * cohort) AS cohort_week", f"word * {WEEK_BITS} + bit - cohort AS period_number")
     )
+
+
+def mart_retention(sessions: DataFrame, days: tuple[date, date] | None = None) -> DataFrame:
+    """Active users by cohort week and weeks since then.
+
+    Sessions are reduced to each user's active weeks in one aggregate. The first of the
+    weeks is the cohort, so cohorts need no join back to the activity, and a user appears
+    once per (cohort, period), so counting rows counts users. The cohort size is the count
+    at period 0. ``days`` are the first and last day that sessions can start on; where they
+    are not given they are read from the sessions, in a job of its own over that column.
+    Weeks are kept as bits; sessions over more than 62 * 32 weeks (38 years, as one wrong
+    date makes them) are kept as sets instead, with the same result.
+    """
+    timed = sessions.filter("user_id IS NOT NULL AND session_start_at IS NOT NULL")
+    if days is None:
+        days = tuple(timed.selectExpr("to_date(min(session_start_at))", "to_date(max(session_start_at))").first())
+    first, last = days
+    if first is None:
+        first = last = EPOCH
+    if (last - first).days // 7 < WEEK_BITS * MOST_WORDS - 1:
+        weeks = _user_weeks(timed, first, last)
+    else:
+        weeks = (
+            timed.groupBy("user_id")
+            .agg(*named(weeks=f"collect_set({week_start('session_start_at')})"))
+            .selectExpr("array_min(weeks) AS cohort_week", "explode(weeks) AS activity_week")
+            .selectExpr("cohort_week", "CAST(datediff(activity_week, cohort_week) DIV 7 AS INT) AS period_number")
+        )
+    counts = weeks.groupBy("cohort_week", "period_number").agg(*named(active_users="count(1)"))
     initial = "max(CASE WHEN period_number = 0 THEN active_users END) OVER (PARTITION BY cohort_week)"
     return (
         counts.selectExpr("cohort_week", "period_number", f"{initial} AS initial_users", "active_users")

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
-from datetime import date, datetime
+from collections import Counter
+from datetime import date, datetime, timedelta
+
+import pytest
 
 from basketlens.operators import sessions, staging
 
@@ -77,3 +80,47 @@ def test_full_name_with_gaps(spark):
     got = staging.stg_users(spark.createDataFrame(rows, columns)).orderBy("user_id").collect()
     assert [r["full_name"] for r in got] == ["Ann Lee", "Bo ", " "]
     assert got[0]["created_at"] == datetime(2024, 1, 1)
+
+
+def _weekly(spark, rows):
+    return spark.createDataFrame(
+        [(u, None if t is None else datetime.fromisoformat(t)) for u, t in rows], "user_id long, session_start_at timestamp_ntz"
+    )
+
+
+def _retained(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def _by_hand(rows):
+    weeks: dict[int, set[date]] = {}
+    for user, t in rows:
+        if user is not None and t is not None:
+            day = datetime.fromisoformat(t).date()
+            weeks.setdefault(user, set()).add(day - timedelta(days=day.weekday()))
+    counts = Counter((min(own), (w - min(own)).days // 7) for own in weeks.values() for w in own)
+    return [(c, p, counts[c, 0], n, n / counts[c, 0]) for (c, p), n in sorted(counts.items())]
+
+
+def test_retention_over_many_words_of_weeks(spark):
+    """Weeks at both ends of words, sessions of a year before another's, users and times missing."""
+    start = datetime(2015, 1, 5)
+    rows = [(u, (start + timedelta(weeks=(u * 61 + k * k * 31) % 500, days=k % 7)).isoformat()) for u in range(40) for k in range(9)]
+    rows += [(99, (start + timedelta(weeks=w)).isoformat()) for w in (61, 62, 123, 124, 499)]
+    rows += [(None, "2015-01-06"), (7, None), (98, "2014-12-31 23:59:59")]
+    found = sessions.mart_retention(_weekly(spark, rows))
+    assert _retained(found) == _by_hand(rows)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+
+
+def test_retention_over_a_wrong_date_and_over_nothing(spark):
+    rows = [(1, "1970-01-01"), (1, "2024-01-03"), (2, "9998-05-05"), (2, "2024-01-10")]
+    assert _retained(sessions.mart_retention(_weekly(spark, rows))) == _by_hand(rows)
+    assert _retained(sessions.mart_retention(_weekly(spark, [(None, "2024-01-01"), (1, None)]))) == []
+
+
+def test_retention_refuses_sessions_outside_the_given_days(spark):
+    facts = _weekly(spark, [(1, "2024-01-03"), (1, "2026-01-03")])
+    with pytest.raises(Exception, match="outside the given days"):
+        sessions.mart_retention(facts, (date(2024, 1, 1), date(2024, 2, 1))).collect()

@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import (
-    ElementwiseProduct, Imputer, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
+    ElementwiseProduct, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler,
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.functions.selection import exact_medians
 from basketlens.functions.sql import quoted
 from basketlens.operators.churn import CATEGORICAL_FEATURES, LEGACY_FEATURES, NUMERIC_FEATURES, TARGET
 
@@ -43,8 +44,24 @@ def _cast_stage(numeric: Sequence[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {casts} FROM __THIS__")
 
 
-def _impute_stage(numeric: Sequence[str]) -> Imputer:
-    return Imputer(strategy="median", inputCols=[f"num_{c}" for c in numeric], outputCols=[f"imp_{c}" for c in numeric])
+class MedianFill(Estimator):
+    """Fitted, fills NULL and NaN of the ``num_`` columns with their exact medians, as ``imp_`` columns.
+
+    The fitted stage is plain SQL with the medians in it, so models are saved as before.
+    """
+
+    def __init__(self, numeric: Sequence[str]) -> None:
+        super().__init__()
+        self.numeric = list(numeric)
+
+    def _fit(self, dataset: DataFrame) -> SQLTransformer:
+        found = exact_medians(dataset, {c: f"num_{c}" for c in self.numeric})
+        empty = [c for c, median in found.items() if median is None]
+        if empty:
+            raise ValueError(f"no values to take a median of in {empty}")
+        known = "nanvl(num_{0}, CAST(NULL AS DOUBLE))"
+        fills = ", ".join(f"coalesce({known.format(c)}, CAST('{found[c]!r}' AS DOUBLE)) AS imp_{c}" for c in self.numeric)
+        return SQLTransformer(statement=f"SELECT *, {fills} FROM __THIS__")
 
 
 def dummy_stage(levels: dict[str, list[str]]) -> tuple[SQLTransformer, list[str]]:
@@ -99,7 +116,7 @@ def baseline_pipeline(
         labelCol=target, weightCol=WEIGHT, maxIter=max_iter, regParam=1.0 / rows, elasticNetParam=0.0, standardization=False
     )
     assemble = VectorAssembler(inputCols=["scaled", *hot], outputCol="features")
-    return Pipeline(stages=[_cast_stage(numeric), _impute_stage(numeric), *numbers, *onehot, assemble, model])
+    return Pipeline(stages=[_cast_stage(numeric), MedianFill(numeric), *numbers, *onehot, assemble, model])
 
 
 def boosted_classifier(params: BoostedParams, target: str = TARGET, weight: str = WEIGHT) -> GBTClassifier:
@@ -111,7 +128,7 @@ def boosted_classifier(params: BoostedParams, target: str = TARGET, weight: str
 
 def tree_features(levels: dict[str, list[str]], numeric: Sequence[str]) -> list:
     """Stages up to the ``features`` vector of the tree models."""
-    stages = [_cast_stage(numeric), _impute_stage(numeric)]
+    stages = [_cast_stage(numeric), MedianFill(numeric)]
     names = [f"imp_{c}" for c in numeric]
     if levels:
         dummies, dummy_names = dummy_stage(levels)

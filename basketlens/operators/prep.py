@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from basketlens.functions.sql import named, quoted, with_stats
 from basketlens.functions.ordering import hash_rank, in_share
+from basketlens.functions.selection import exact_medians
 
 MAX_LEVELS = 10_000
 
@@ -17,14 +18,17 @@ def _replaced(df: DataFrame, new: dict[str, str]) -> list[str]:
     return [f"{new[c]} AS `{c}`" if c in new else f"`{c}`" for c in df.columns]
 
 
-def medians(df: DataFrame, columns: Sequence[str], exact: bool = False) -> DataFrame:
-    """One row of medians. The exact form keeps a count per distinct value of each
-    column, so it suits columns with few values; the other is a fixed-size sketch."""
-    median = "percentile({0}, 0.5D)" if exact else "percentile_approx({0}, 0.5D, 10000)"
-    return df.agg(*named(**{c: median.format(f"CAST({c} AS DOUBLE)") for c in columns}))
+def medians(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
+    """One row of medians. The exact form reads ``df``, best a written table, several
+    times right here (see ``exact_medians``); the other is a sketch and lazy."""
+    if exact:
+        found = exact_medians(df, {c: f"`{c}`" for c in columns})
+        schema = ", ".join(f"`{c}` double" for c in columns)
+        return df.sparkSession.createDataFrame([tuple(found[c] for c in columns)], schema)
+    return df.agg(*named(**{c: f"percentile_approx(CAST({c} AS DOUBLE), 0.5D, 10000)" for c in columns}))
 
 
-def impute_median(df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | None = None, exact: bool = False) -> DataFrame:
+def impute_median(df: DataFrame, columns: Sequence[str], fitted_on: DataFrame | None = None, exact: bool = True) -> DataFrame:
     """Fill NULLs with the medians of the training rows."""
     fitted = medians(df if fitted_on is None else fitted_on, columns, exact)
     filled = {c: f"coalesce(CAST({c} AS DOUBLE), __mid.{c})" for c in columns}

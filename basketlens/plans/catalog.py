@@ -265,7 +265,9 @@ def _with_gaps(spark, sf) -> DataFrame:
 
 @query
 def impute_median(spark, sf):
-    return prep.impute_median(_with_gaps(spark, sf), ["recency_days", "total_events", "view_count", "session_count"], exact=True)
+    layer = FolderLayer(spark, scratch_path(spark, "gaps"))
+    layer.replace("gaps", _with_gaps(spark, sf))
+    return prep.impute_median(layer.read("gaps"), ["recency_days", "total_events", "view_count", "session_count"])
 
 
 @query

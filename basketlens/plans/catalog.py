@@ -794,6 +794,26 @@ def run_metrics(spark, sf):
     return registry.run_values(run)
 
 
+@query
+def run_log(spark, sf):
+    """Params and metrics of the last of three logged runs of the known model, the first two logged at once."""
+    registry, scored = _registry(spark), _known(_train_set(spark, sf))
+    ranked = metrics.ranking_metrics(scored, churn.TARGET, "churn_probability")
+    names = ["positives", "negatives", "roc_auc", "average_precision"]
+    pairs = ", ".join(f"'{c}', round(CAST({c} AS DOUBLE), 9)" for c in names)
+    rows = ranked.selectExpr(f"stack({len(names)}, {pairs}) AS (metric, value)")
+    early = rows.sparkSession.createDataFrame([("roc_auc", 0.0)], "metric string, value double")
+
+    def log_early(number: int) -> str:
+        return registry.log_run(training.EXPERIMENT, f"early {number}", {}, early)
+
+    with ThreadPool(2) as pool:
+        pool.map(inheritable_thread_target(spark)(log_early), range(2))
+    registry.log_run(training.EXPERIMENT, "known", KNOWN_WEIGHTS, rows)
+    last = registry.latest_run(training.EXPERIMENT).first()
+    return registry.run_values(last["run_id"]).selectExpr(f"'{last['run_name']}' AS run_name", "kind", "key", "text", "value")
+
+
 @query
 def registry_latest(spark, sf):
     """The second of two registered versions is the latest."""

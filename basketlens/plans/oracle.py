@@ -379,6 +379,14 @@ QUERY_SQL: dict[str, str] = {
     "avg_precision": """
     SELECT CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(pos) AS DOUBLE) / (sum(pos) + sum(neg)) AS prevalence,
         round(sum(CAST(pos AS DOUBLE) * tp / (tp + fp)) / sum(pos), 9) AS average_precision FROM ranked""",
+    "run_log": " UNION ALL ".join([
+        *(f"SELECT 'known' AS run_name, 'param' AS kind, '{c}' AS key, '{w}' AS text, CAST(NULL AS DOUBLE) AS value"
+          for c, w in KNOWN_WEIGHTS.items()),
+        *(f"SELECT 'known', 'metric', '{name}', NULL, round(CAST({value} AS DOUBLE), 9) FROM ranked" for name, value in (
+            ("positives", "sum(pos)"), ("negatives", "sum(neg)"),
+            ("roc_auc", "CAST(sum(neg * (tp - pos)) + sum(neg * pos) / 2.0 AS DOUBLE) / (sum(pos) * sum(neg))"),
+            ("average_precision", "sum(CAST(pos AS DOUBLE) * tp / (tp + fp)) / sum(pos)")))]),
+    "registry_latest": "SELECT 'churn_boosted' AS name, CAST(2 AS BIGINT) AS version",
     "churn_predictions": "SELECT user_id, churn_probability FROM scored",
     "retention_targets": """
     SELECT * FROM churn_scores WHERE recommended_action != 'No Action' ORDER BY expected_uplift_value DESC, user_id LIMIT 500""",

@@ -16,6 +16,11 @@ from basketlens.session import scratch_path
 SALTS = 8
 
 
+def _drawn(seed: int, what: str, digits: int) -> str:
+    """A number of so many hexadecimal digits for a synthetic row's ``id``, from an md5 digest that any engine can repeat."""
+    return f"CAST(conv(substring(md5(concat('{seed}-{what}-', CAST(id AS STRING))), 1, {digits}), 16, 10) AS BIGINT)"
+
+
 def neighbour_slots(sites: DataFrame, k: int) -> DataFrame:
     """Per site, its ``k`` neighbours as rows (site, slot, other_vec), slots from 0.
 
@@ -69,9 +74,9 @@ def smote(
     sites = spark.read.parquet(site_path)
 
     draws = spark.range(missing).selectExpr(
-        f"pmod(xxhash64({seed}, 'row', id), {rows}L) + 1 AS n",
-        f"pmod(xxhash64({seed}, 'slot', id), {k}L) AS slot",
-        f"pmod(xxhash64({seed}, 'step', id), {1 << 53}L) / CAST({1 << 53}L AS DOUBLE) AS step",
+        f"{_drawn(seed, 'row', 15)} % {rows}L + 1 AS n",
+        f"{_drawn(seed, 'slot', 15)} % {k}L AS slot",
+        f"{_drawn(seed, 'step', 13)} / CAST({1 << 52}L AS DOUBLE) AS step",
     )
     # a vector that many minority rows share gets many draws: they are dealt out, and its k neighbours copied
     salts = SALTS

@@ -776,7 +776,8 @@ def tune_best(spark, sf):
 
 @query
 def smote_rows(spark, sf):
-    return smote.smote(_legacy_table(spark, sf), churn.LEGACY_FEATURES, churn.TARGET)
+    made = smote.smote(_legacy_table(spark, sf), churn.LEGACY_FEATURES, churn.TARGET)
+    return rounded(made, *churn.LEGACY_FEATURES, digits=6)
 
 
 @query

@@ -11,7 +11,7 @@ import re
 from basketlens import schemas
 from basketlens.functions.sql import ERFC_TERMS, listed
 from basketlens.operators import experiments
-from basketlens.operators.churn import CATEGORICAL_FEATURES, NUMERIC_FEATURES
+from basketlens.operators.churn import CATEGORICAL_FEATURES, LEGACY_FEATURES, NUMERIC_FEATURES
 from basketlens.operators.drift import DRIFT_FEATURES
 from basketlens.plans.catalog import (
     EXPECTATIONS, FEATURE_CHECKS, KNOWN_INTERCEPT, KNOWN_WEIGHTS, LEGACY_CUTOFF, MART_CHECKS, SALT, SCORE_SNAPSHOT, SEED,
@@ -328,6 +328,34 @@ _IMPUTED = ", ".join(
 _SHARES = ", ".join(f"(CAST({c} AS DOUBLE) - avg({c}) OVER ()) * {w}::DOUBLE AS {c}" for c, w in KNOWN_WEIGHTS.items())
 _WIDTH = "CASE WHEN high > low THEN (high - low) / 20 ELSE 1.0 END"
 
+
+
+def _digits(what: str, digits: int) -> str:
+    return f"CAST('0x' || substr(md5('42-{what}-' || i), 1, {digits}) AS BIGINT)"
+
+
+def _smote_sql(features: list[str], k: int = 5) -> str:
+    """Every pair of minority rows ranked by distance; each draw takes a row, a rank and a step between both."""
+    squares = " + ".join(f"(CAST(a.{f} AS DOUBLE) - b.{f}) * (CAST(a.{f} AS DOUBLE) - b.{f})" for f in features)
+    between = ", ".join(f"round(CAST(a.{f} AS DOUBLE) + step * (CAST(b.{f} AS DOUBLE) - a.{f}), 6) AS {f}" for f in features)
+    original = ", ".join(f"round(CAST({f} AS DOUBLE), 6) AS {f}" for f in features)
+    return f"""
+    SELECT * FROM (WITH sizes AS (SELECT is_churned, count(*) AS n FROM mart_churn_features GROUP BY 1),
+    base AS (
+        SELECT *, row_number() OVER (ORDER BY md5('42-' || user_id), user_id) AS n FROM mart_churn_features
+        WHERE is_churned = (SELECT is_churned FROM sizes ORDER BY n, is_churned LIMIT 1)),
+    near AS (
+        SELECT a.n AS one, b.n AS other, row_number() OVER (PARTITION BY a.n ORDER BY {squares}, b.n) - 1 AS slot
+        FROM base a JOIN base b ON a.n != b.n QUALIFY slot < {k}),
+    draws AS (
+        SELECT {_digits('row', 15)} % (SELECT min(n) FROM sizes) + 1 AS one, {_digits('slot', 15)} % {k} AS slot,
+            {_digits('step', 13)} / CAST({1 << 52} AS DOUBLE) AS step
+        FROM (SELECT unnest(range((SELECT max(n) - min(n) FROM sizes))) AS i))
+    SELECT {original}, is_churned, false AS synthetic FROM mart_churn_features UNION ALL
+    SELECT {between}, a.is_churned, true FROM draws JOIN near USING (one, slot)
+    JOIN base a ON a.n = one JOIN base b ON b.n = other)"""
+
+
 QUERY_SQL: dict[str, str] = {
     **{name: f"SELECT * FROM {name}" for name in (
         "stg_users", "stg_products", "stg_orders", "stg_order_items", "stg_events", "fct_sessions", "mart_funnel",
@@ -451,6 +479,7 @@ QUERY_SQL: dict[str, str] = {
     "dq_summary": f"""
     SELECT count(*) AS checks, count(CASE WHEN NOT success THEN 1 END) AS failed_checks, bool_and(success) AS success
     FROM ({_checks_sql(EXPECTATIONS)})""",
+    "smote_rows": _smote_sql(LEGACY_FEATURES),
     "smote_balance": """
     SELECT is_churned, false AS synthetic, count(*) AS rows FROM mart_churn_features GROUP BY 1 UNION ALL
     SELECT CASE WHEN ones < zeros THEN 1 ELSE 0 END, true, abs(ones - zeros) FROM (

@@ -10,11 +10,12 @@ Everything runs in Spark SQL expressions and Spark ML; no Python on the executor
    digit groups of a card, strict octets inside longer dotted numbers).
 3. Gradient-boosted trees score all proposals by format and context (digit and
    separator counts, check sums, neighbouring characters, words before). They learn
-   from proposals that equal a base match (1) or a match that failed its rule (0): a
-   bounded sample of at most TRAIN_ROWS, with a share for each kind and class, in an
-   order that does not depend on the data's layout. With fewer than LEAST_ROWS of either
-   class there is no model.
-4. Per kind the threshold is calibrated on the held-out fifth of that sample: the
+   from proposals that equal a base match (1) or a match that failed its rule (0): all
+   distinct ones of all documents, but for a fifth that is held out. Matches of equal
+   features are one row with their number; those of one kind and class weigh
+   STRATUM_WEIGHT together at most. With fewer than LEAST_ROWS of either class there is
+   no model.
+4. Per kind the threshold is calibrated on all of the held-out fifth: the
    lowest score from which up the held-out precision reaches PRECISION. A kind without
    a threshold that has fewer than LEAST_ROWS held-out rows goes by a fixed rule
    (``by_rule``), as do all kinds without a model: a word for the kind stands before the
@@ -30,7 +31,7 @@ are ignored (find) or kept (redact).
 
 from __future__ import annotations
 
-import functools
+import math
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -41,10 +42,14 @@ from pyspark.sql import functions as F
 from basketlens.llm.common import written
 
 KINDS = ["email", "ip", "card", "phone"]
-TRAIN_ROWS = 20_000
+#: What the matches of a kind and class weigh together at most, however many they are.
+STRATUM_WEIGHT = 2_500
+#: Rows of different features in a task of the fit.
+ROWS_PER_TASK = 20_000
 LEAST_ROWS = 20
 PRECISION = 0.95
 TREES, DEPTH = 20, 4
+LEAST_BINS = 32
 #: Code points of context kept on either side.
 CONTEXT = 32
 
@@ -225,34 +230,45 @@ class Selector:
 
 
 def held_out(order: Column) -> Column:
-    """A fifth of the rows, by the last digits of their digest: the first ones order the sample."""
+    """A fifth of the rows, by the last digits of their digest."""
     return F.conv(F.right(order, F.lit(4)), 16, 10).cast("int") % 5 == 0
 
 
+def examples(proposed: DataFrame) -> DataFrame:
+    """All distinct base matches with what stands around them, those of equal features as one row: kind, label, held, FEATURES, n.
+
+    A match that copies repeat, with what stands around it, counts once.
+    """
+    found = proposed.select(F.explode("__base").alias("b"))
+    parts = ["kind", "match", "before", "after"]
+    each = found.select(*[F.col(f"b.{c}").alias(c) for c in parts], F.col("b.valid").cast("double").alias("label")).distinct()
+    held = held_out(F.md5(F.concat_ws("\t", *parts)))
+    named = each.select("kind", "label", held.alias("held"), *[c.alias(n) for n, c in features(F.struct(*parts)).items()])
+    return named.groupBy("kind", "label", "held", *FEATURES).agg(F.count("*").alias("n"))
+
+
 def fit(proposed: DataFrame) -> Selector:
-    """Learn from a bounded sample of the proposals of all documents; by rule where it has too few of a class."""
-    order = F.md5(F.concat_ws("\t", "span.kind", "span.match", "span.before", "span.after"))
-
-    def stratum(kind: str, valid: bool) -> DataFrame:
-        own = F.filter("__base", lambda b: (b["kind"] == kind) & (b["valid"] == valid))
-        rows = proposed.select(F.explode(own).alias("b")).select(F.col("b").dropFields("valid").alias("span"), F.lit(float(valid)).alias("label"))
-        # a match that copies repeat, with what stands around it, counts once
-        rows = rows.withColumn("order", order).groupBy("order", "label").agg(F.min("span").alias("span"))
-        return rows.orderBy("order").limit(TRAIN_ROWS // (2 * len(KINDS))).select("span", "label", "order")
-
-    # each kind and class in turn, so that a rare one is not crowded out; every match of an email is valid
-    strata = [stratum(k, v) for k in KINDS for v in (False, True) if v or k != "email"]
-    sample = written(functools.reduce(DataFrame.unionByName, strata))
-    counts = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if min(counts.get(0.0, 0), counts.get(1.0, 0)) < LEAST_ROWS:
+    """Learn from the base matches of all documents; by rule where there are too few of a class."""
+    rows = written(examples(proposed))
+    sizes = rows.groupBy("kind", "label").agg(F.sum("n").alias("n"), F.sum(F.lit(1)).alias("rows")).collect()  # 7 at most
+    if min(sum(r["n"] for r in sizes if r["label"] == label) for label in (0.0, 1.0)) < LEAST_ROWS:
         return Selector(None, {}, KINDS)
-    held = held_out(F.col("order"))
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    rows = vectors.transform(sample.withColumn("held", held).withColumns(features(F.col("span")))).select("span", "label", "held", "features")
-    model = GBTClassifier(labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(rows.where(~F.col("held")))
+    # so that a rare kind or class is not crowded out, the rows of a frequent one weigh less each
+    least = F.lit(1.0)
+    for r in sizes:
+        if r["n"] > STRATUM_WEIGHT:
+            least = F.when((F.col("kind") == r["kind"]) & (F.col("label") == r["label"]), STRATUM_WEIGHT / r["n"]).otherwise(least)
+    n = sum(r["rows"] for r in sizes)
+    rows = rows.coalesce(1 + n // ROWS_PER_TASK).withColumn("weight", F.col("n") * least)
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
+    # up to the square of maxBins, rows are all looked at for cut points
+    trees = GBTClassifier(
+        labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, maxBins=max(LEAST_BINS, math.isqrt(n) + 1), seed=7
+    )
+    model = trees.fit(rows.where(~F.col("held")).select("features", "label", "weight"))
     grid = F.floor(vector_to_array("probability")[1] * 50)
-    scored = model.transform(rows.where("held")).groupBy(F.col("span.kind").alias("kind"), grid.alias("bin"))
-    bins = scored.agg(F.sum("label").alias("good"), F.count("*").alias("n")).collect()  # 4 kinds x 51 bins at most
+    scored = model.transform(rows.where("held")).groupBy("kind", grid.alias("bin"))
+    bins = scored.agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()  # 4 kinds x 51 bins at most
     thresholds, ruled = {}, []
     for kind in KINDS:
         own, good, n = sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]), 0.0, 0

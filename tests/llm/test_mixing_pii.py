@@ -168,6 +168,15 @@ def test_hold_out_of_the_least_digests(spark):
     assert 0.17 < digests.where(pii.held_out(F.col("order"))).count() / 5000 < 0.23
 
 
+def test_fit_learns_from_all_matches(spark):
+    # more of one kind and class than a sample used to take, twice each
+    rows = [(i, f"host 10.{i // 250}.{i % 250}.7 end") for i in range(3000)]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    seen = pii.examples(pii.proposals(docs).drop("text"))
+    assert {(r.kind, r.label): r.n for r in seen.groupBy("kind", "label").agg(F.sum("n").alias("n")).collect()} == {("ip", 1.0): 3000}
+    assert seen.count() < 100  # equal features are one row
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert pii.find(docs).count() == 0 and pii.redact(docs).count() == 0

@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,24 +116,28 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         bags, ["words"], [("at", T.ArrayType(T.IntegerType()))], lambda rows: [[[index[w] for w in r if w in index] for r in rows]]
     )
     held = numbered.select("doc_id", "toxic", "at").toArrow().sort_by([("doc_id", "ascending")])
-    bags_of = held.column("at").to_pylist()
+    bags_of = held.column("at").combine_chunks()
     y = np.array(held.column("toxic").to_pylist())
     names = list(index)
-    swaps = {index[w]: index[v] for w, v in _SWAP.items()}
-    pairs = np.array([(a, swaps[a]) for bag in bags_of for a in bag if a in swaps], np.int64).reshape(-1, 2)
-    weights, intercept = solve(bags_of, y, len(names), pairs)
+    comes = np.full(len(names), -1)
+    for w, v in _SWAP.items():
+        comes[index[w]] = index[v]
+    goes = bags_of.flatten().to_numpy()
+    goes = goes[comes[goes] >= 0].astype(np.int64)
+    weights, intercept = solve(bags_of, y, len(names), np.stack([goes, comes[goes]], axis=1))
     return Model({names[i]: float(weights[i]) for i in np.flatnonzero(weights)}, float(intercept))
 
 
-def solve(bags: list[list[int]], y: np.ndarray, n_words: int, pairs: np.ndarray) -> tuple[np.ndarray, float]:
+def solve(bags: list[list[int]] | pa.ListArray, y: np.ndarray, n_words: int, pairs: np.ndarray) -> tuple[np.ndarray, float]:
     """Minimise mean log loss + counterfactual penalty + L1, by accelerated proximal gradient steps.
 
+    ``bags``: the words of each row; as an Arrow array they take no Python objects on the driver.
     ``pairs``: for each swap in a labelled text, the word that goes and the word that comes.
     Columns are scaled by their frequency, which evens out the steps of rare and common words.
     """
-    n = len(bags)
-    row = np.repeat(np.arange(n), [len(b) for b in bags])
-    col = np.fromiter((i for b in bags for i in b), np.int64, len(row))
+    bags, n = pa.array(bags, pa.list_(pa.int32())) if isinstance(bags, list) else bags, len(bags)
+    row = np.repeat(np.arange(n), bags.value_lengths().to_numpy())
+    col = bags.flatten().to_numpy().astype(np.int64)
     seen = np.maximum(np.bincount(col, minlength=n_words), 1.0)
     scale = np.sqrt(n / seen) / 4.0
     value = scale[col]

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +63,13 @@ def test_toxicity_held_out_and_counterfactual(spark):
     assert max(neutral) < 0.5 and max(neutral) - min(neutral) < 0.05
 
 
+def test_solver_takes_bags_as_an_arrow_array():
+    bags, y, pairs = [[0, 1], [], [2], [0, 2], [1]], np.array([1.0, 0.0, 0.0, 1.0, 0.0]), np.zeros((0, 2), np.int64)
+    listed = toxicity.solve(bags, y, 3, pairs)
+    packed = toxicity.solve(pa.array([[9], *bags], pa.list_(pa.int32())).slice(1), y, 3, pairs)
+    assert (listed[0] == packed[0]).all() and listed[1] == packed[1]
+
+
 def test_swapping_names_moves_scores_less_with_the_penalty(monkeypatch):
     rng = np.random.default_rng(1)
     bags = [[0] * int(rng.random() < 0.3) + [1 + int(rng.random() < 0.5)] + [int(rng.integers(3, 9))] for _ in range(400)]

@@ -63,9 +63,15 @@ def _shop(spark: SparkSession, sf: str) -> Staged:
 # --- sources -------------------------------------------------------------------------------
 
 
-def _write_csv(df: DataFrame, path: str) -> None:
+# Rows of a compressed part file, which one task reads.
+PACKED_ROWS = 1_000_000
+
+
+def _write_csv(df: DataFrame, path: str, packed: bool = False) -> None:
+    """With spaced, capitalized headers; ``packed`` in gzip files of at most PACKED_ROWS rows."""
     titled = df.toDF(*[c.replace("_", " ").title() for c in df.columns])
-    titled.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
+    gzip = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": PACKED_ROWS} if packed else {}
+    titled.write.options(header=True, timestampNTZFormat="yyyy-MM-dd HH:mm:ss.SSSSSS", **gzip).csv(path)
 
 
 @query
@@ -82,7 +88,7 @@ def load_report(spark, sf):
     folder, raw = scratch_path(spark, "csv"), FolderLayer(spark, scratch_path(spark, "raw"))
     shop = StarSchema(spark, sf)
     for name in schemas.SOURCE_SCHEMAS:
-        _write_csv(getattr(shop, name)(), f"{folder}/{name}.csv")
+        _write_csv(getattr(shop, name)(), f"{folder}/{name}.csv", packed=True)
     return readers.load_csv_folder(spark, folder, raw)
 
 

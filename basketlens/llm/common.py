@@ -41,11 +41,11 @@ def word_bytes(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def slices(batch: pa.RecordBatch, column: str | None = None) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about CHUNK_BYTES each; a longer row is alone."""
+def slices(batch: pa.RecordBatch, column: str | None = None, chunk: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``chunk`` bytes each; a longer row is alone."""
     if batch.num_rows == 0:
         return
-    rows = max(1, int(batch.num_rows * CHUNK_BYTES // max(batch.nbytes, 1)))
+    rows = max(1, int(batch.num_rows * chunk // max(batch.nbytes, 1)))
     start = 0
     while start < batch.num_rows:
         yield batch.slice(start, rows)
@@ -53,28 +53,33 @@ def slices(batch: pa.RecordBatch, column: str | None = None) -> Iterator[pa.Reco
 
 
 def append_columns(
-    df: DataFrame, read: list[str], fields: list[tuple[str, T.DataType]], function: Callable[..., list], arrow: bool = False
+    df: DataFrame, read: list[str], fields: list[tuple[str, T.DataType]], function: Callable[..., list], arrow: bool = False,
+    chunk: int = CHUNK_BYTES,
 ) -> DataFrame:
-    """df with new columns: ``function(*columns as Python lists) -> one list per field``, per run of rows.
+    """df with new columns: ``function(*columns as Python lists) -> one list per field``, per run of rows of ``chunk`` bytes.
 
     A column of df with the name of a new one is replaced. ``arrow``: the function takes Arrow arrays.
     """
     names = {name for name, _ in fields}
     kept = [c for c in df.columns if c not in names]
-    hidden = [f"__read_{i}" for i in range(len(read))]
-    source = df.select(*[df[c] for c in kept], *[df[c].alias(h) for c, h in zip(read, hidden)])
+    # what is kept is read where it is: a text goes to the worker once
+    hidden = {c: f"__read_{i}" for i, c in enumerate(read) if c not in kept}
+    source = df.select(*[df[c] for c in kept], *[df[c].alias(h) for c, h in hidden.items()])
+    places = [source.columns.index(hidden.get(c, c)) for c in read]
     schema = T.StructType([source.schema[c] for c in kept] + [T.StructField(n, t) for n, t in fields])
     kinds = [to_arrow_type(t) for _, t in fields]
 
     def run(batches):
         for whole in batches:
-            for batch in slices(whole):
-                table_in = [batch.column(len(kept) + i) for i in range(len(hidden))]
+            for batch in slices(whole, chunk=chunk):
+                table_in = [batch.column(i) for i in places]
                 out = function(*(table_in if arrow else [c.to_pylist() for c in table_in]))
                 columns = [batch.column(i) for i in range(len(kept))] + [
                     x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(out, kinds)
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+        # workers wait between tasks: they shall not keep what the largest batch took
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 

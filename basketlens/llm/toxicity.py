@@ -31,6 +31,10 @@ from pyspark.sql import types as T
 from basketlens.llm.common import append_columns, crc_fold, written
 
 TRAIN_ROWS = 20_000
+#: The training rows are few: at most so many tasks and files hold them, whatever the shuffle partitions.
+TRAIN_TASKS = 8
+#: Bytes of text whose words a worker holds as Python strings at a time.
+WORDS_CHUNK = 512 << 10
 MAX_WORDS = 6_000
 #: Letters of the stems of longer words.
 STEMS = (4, 5, 6)
@@ -95,9 +99,9 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    rows = labelled(docs, labels)
+    rows = labelled(docs, labels).coalesce(TRAIN_TASKS)
     bags = append_columns(
-        rows, ["text"], [("words", T.ArrayType(T.StringType()))], lambda texts: [[sorted(words(t)) for t in texts]]
+        rows, ["text"], [("words", T.ArrayType(T.StringType()))], lambda texts: [[sorted(words(t)) for t in texts]], chunk=WORDS_CHUNK
     )
     bags = written(bags.select("doc_id", "toxic", "words"))
     n, positive = bags.agg(F.count("*"), F.sum("toxic")).first()
@@ -113,7 +117,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     for w in list(_SWAP):
         index.setdefault(w, len(index))
     numbered = append_columns(
-        bags, ["words"], [("at", T.ArrayType(T.IntegerType()))], lambda rows: [[[index[w] for w in r if w in index] for r in rows]]
+        bags, ["words"], [("at", T.ArrayType(T.IntegerType()))], lambda rows: [[[index[w] for w in r if w in index] for r in rows]],
+        chunk=WORDS_CHUNK,
     )
     held = numbered.select("doc_id", "toxic", "at").toArrow().sort_by([("doc_id", "ascending")])
     bags_of = held.column("at").combine_chunks()

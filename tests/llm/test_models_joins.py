@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from basketlens.llm import graph, jaccard, learned_index, near_vectors, toxicity
+from basketlens.llm import common, graph, jaccard, learned_index, near_vectors, toxicity
 from basketlens.llm.common import words_of
 
 
@@ -306,3 +307,31 @@ def test_toxicity_sample_has_one_row_per_document(spark):
     rows = toxicity.labelled(docs, labels).collect()
     assert len(rows) == len({r["doc_id"] for r in rows}) <= 40
     assert sorted(map(tuple, rows)) == sorted(map(tuple, toxicity.labelled(docs.repartition(7), labels).collect()))
+
+
+def test_a_column_that_is_kept_goes_to_the_worker_once(spark):
+    df = spark.createDataFrame([(1, "a b", 2), (2, None, 3)], "doc_id long, text string, n int")
+    fields = [("size", T.LongType())]
+    kept = common.append_columns(df, ["text"], fields, lambda texts: [[len(t or "") for t in texts]], chunk=1)
+    assert "__read" not in kept._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, kept.collect())) == [(1, "a b", 2, 3), (2, None, 3, 0)]
+    replaced = common.append_columns(df, ["n", "text"], [("text", T.StringType())], lambda n, texts: [[f"{t}{i}" for i, t in zip(n, texts)]])
+    assert sorted(map(tuple, replaced.collect())) == [(1, 2, "a b2"), (2, 3, "None3")]
+
+
+def test_the_training_rows_of_toxicity_lie_in_few_files(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{'vile' if i % 2 else 'kind'} word {i}") for i in range(120)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
+    cuts, written = [], toxicity.written
+    monkeypatch.setattr(toxicity, "written", lambda df: cuts.append(df.rdd.getNumPartitions()) or written(df))
+    settings = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        model = toxicity.fit(docs, labels)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert cuts and max(cuts) <= toxicity.TRAIN_TASKS
+    assert model.score("vile word") > 0.5 > model.score("kind word")

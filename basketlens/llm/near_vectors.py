@@ -1,50 +1,77 @@
-"""Embedding near-dedup: a subspace pigeonhole join within labels.
+"""Embedding near-dedup: exact pairs within labels, from tiles that are compared where they lie.
 
 Unit vectors are at a cosine of at least ``least`` when their squared distance is at most
-2 - 2 * least. After a random rotation (which spreads the distance evenly) the vector is
-cut into blocks; the squared distance is the sum over the blocks, so in some block it is
-at most the block's share of the budget (in proportion to its dimensions). Per block a
-range join finds all pairs within its share: vectors lie in cells of the block's first
-two coordinates, as wide as the search radius, and each meets its own cell and half of
-the neighbouring ones. The pairs found in any block are verified on the original vectors
-in double precision, in the first block that finds them.
-
-Equal vectors of a label are one node with a count, so copies cost nothing. A cell with
-many nodes is cut into tiles of TILE nodes; pairs of tiles are separate tasks' groups,
-so a hot cell is spread. Each pair is counted once; nothing is dropped.
+2 - 2 * least, and their distance in any subspace is no larger. So a pair is first compared
+in the first few dimensions after a random rotation (single precision, with a margin for
+rounding); rows that may have a partner there are compared in all dimensions, and pairs
+near the limit on the original vectors in double precision.
+
+Equal vectors of a label are one node with a count, so copies cost nothing. The vectors are
+exchanged once, to tiles of about TILE nodes of one label (by the signs of a few rotated
+dimensions, so that near vectors tend to share a tile). Links inside a tile are found when it
+is packed; smaller labels share a tile and are then done. The tiles of a larger label meet
+in a Cartesian product, which reads the written tiles anew for each pair of partitions:
+no vector is sent or stored again for it.
+
+Links are not listed, as a group of n near copies has n * n / 2 of them. A tile counts the
+partners of its nodes and joins linked nodes to one local root; pairs of tiles add counts and
+edges between local roots, of which the components are made.
 
 Rows: a null label, and vectors that are null, empty, zero or hold null or non-finite
 components, link with nothing. Vectors of different length do not link. Repeated rows
 (same vec_id) count as vectors of their own. Empty tables give empty results; other
-columns are ignored.
+columns are ignored. Long vectors make tiles of fewer nodes (TILE_BYTES).
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.window import Window
 
-from basketlens.llm.common import written
+from basketlens.llm.common import shared_path, written
 from basketlens.llm.graph import components
 
 LEAST = 0.93
-BLOCK_DIMS = 8
-TILE = 1024
-SLACK = 1e-6
+#: Nodes of a tile, and their bytes in double precision.
+TILE = 8192
+TILE_BYTES = 4 << 20
+#: Of a vector with so many rows, one row goes to its tile.
+CROWD = 1000
+#: Rotated dimensions whose signs order the nodes of a label.
+SIGNS = 12
+#: Rows of a tile that are compared with so many columns of the other at a time.
+STRIP, WIDTH = 256, 2048
+#: Tiles that a task keeps prepared.
+READY = 16
+#: Labels are dealt into so many folders of tiles, and neighbouring tiles written together.
+FOLDERS, TOGETHER = 32, 4
+#: Edges that a task holds back.
+HELD = 1 << 18
+
+
+@functools.lru_cache(maxsize=8)
+def subspace(dims: int, kept: int) -> np.ndarray:
+    """Fixed random orthonormal directions, as columns."""
+    return np.linalg.qr(np.random.default_rng(17).normal(size=(dims, kept)))[0]
 
 
-def rotation(dims: int) -> np.ndarray:
-    """A fixed random orthogonal matrix."""
-    q, r = np.linalg.qr(np.random.default_rng(17).normal(size=(dims, dims)))
-    return q * np.sign(np.diag(r))
+def filter_dims(dims: int, least: float) -> int:
+    """Dimensions of the first comparison; 0: all at once. Vectors without direction are seldom near in as many."""
+    kept = int(np.ceil((2 - 2 * least) * dims)) + 16
+    return kept if kept <= dims // 2 else 0
 
 
-def blocks_of(dims: int) -> list[tuple[int, int]]:
-    return [(a, min(a + BLOCK_DIMS, dims)) for a in range(0, dims, BLOCK_DIMS)]
+def tile_rows(dims: int, tile: int, tile_bytes: int) -> int:
+    return max(1, min(tile, tile_bytes // (8 * dims)))
 
 
 def as_numbers(vectors: DataFrame, vector: str) -> F.Column:
@@ -61,155 +88,400 @@ def is_usable(vector: str) -> F.Column:
     return F.coalesce(fine & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-_CELL = T.StructType(
-    [T.StructField(n, t) for n, t in [("label", T.StringType()), ("dims", T.IntegerType()), ("block", T.IntegerType()), ("x", T.IntegerType()),
-     ("y", T.IntegerType()), ("node", T.LongType()), ("vector", T.ArrayType(T.DoubleType()))]]
-)
-
-
 def _unit(v: np.ndarray) -> np.ndarray:
     """Scaled by the largest component first, so that squares neither overflow nor vanish."""
     v = v / np.abs(v).max(axis=1, keepdims=True)
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def _cells(least: float, kind: pa.DataType):
+def _vectors(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Where each row's numbers begin and end, and all numbers."""
+    return column.offsets.to_numpy(), column.values
+
+
+def _usable(column: pa.Array) -> np.ndarray:
+    """As is_usable, by row."""
+    at, values = _vectors(column)
+    flat = values.to_numpy(zero_copy_only=False)
+    odd = ~np.isfinite(flat)
+    if values.null_count:
+        odd |= values.is_null().to_numpy(zero_copy_only=False)
+    counts = [np.diff(np.append(0, np.cumsum(x))[at]) for x in (odd, flat != 0)]
+    return column.is_valid().to_numpy(zero_copy_only=False) & (counts[0] == 0) & (counts[1] > 0)
+
+
+def _signs(vectors: np.ndarray) -> np.ndarray:
+    """The signs of the first rotated dimensions as bits. Equal vectors get equal bits in any batch, as a matrix product does not ensure."""
+    kept = min(vectors.shape[1], SIGNS)
+    vectors = np.ascontiguousarray((vectors / np.abs(vectors).max(axis=1, keepdims=True)).T)
+    turned = np.zeros((kept, vectors.shape[1]))
+    for j, weights in enumerate(subspace(len(vectors), kept)):
+        turned += weights[:, None] * vectors[j]
+    return (1 << np.arange(SIGNS - 1, SIGNS - 1 - kept, -1)) @ (turned > 0)
+
+
+def _with_cells(batches):
+    """Rows (vec_id, label, vector) with vectors that cannot take part as null, their lengths and signs."""
+    for batch in batches:
+        named, label, column = batch.columns
+        usable = _usable(column) & label.is_valid().to_numpy(zero_copy_only=False)
+        at, values = _vectors(column)
+        flat = values.to_numpy(zero_copy_only=False)
+        size = np.where(usable, np.diff(at), 0)
+        cell = np.zeros(len(size), np.int32)
+        for dims in np.unique(size[usable]).tolist():
+            own = np.flatnonzero(size == dims)
+            whole = len(own) == len(size)
+            rows = flat[at[0] : at[-1]].reshape(-1, dims) if whole else flat[at[own][:, None] + np.arange(dims)]
+            cell[own] = _signs(rows.astype(np.float64))
+        column = column if usable.all() else pc.if_else(pa.array(usable), column, pa.scalar(None, column.type))
+        columns = [named, label, column, pa.array(size.astype(np.int32)), pa.array(cell)]
+        yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "dims", "cell"])
+
+
+class _Tile:
+    """Vectors of equal length, ready to be compared."""
+
+    def __init__(self, raw: np.ndarray, least: float):
+        self.raw, dims = raw, raw.shape[1]
+        unit = _unit(raw.astype(np.float64))
+        self.unit = unit.astype(np.float32)
+        # sums of so many products in single precision, of factors that are rounded
+        self.margin = np.float32((dims + 8) * 2.0**-22)
+        self.first = None
+        if kept := filter_dims(dims, least):
+            near = (unit @ subspace(dims, kept)).astype(np.float32)
+            half, one = -(near * near).sum(axis=1, keepdims=True) / 2, np.ones((len(raw), 1), np.float32)
+            # the product of a row of the one and a row of the other is minus half their squared distance
+            self.first, self.second = np.hstack([near, half, one]), np.hstack([near, one, half])
+
+
+def _is_link(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
+    """Whether rows of x and y are linked, in double precision."""
+    x, y = x.astype(np.float64), y.astype(np.float64)
+    dot = (_unit(x) * _unit(y)).sum(axis=1)
+    good = dot >= least
+    for t in np.flatnonzero(np.abs(dot - least) < 1e-9):  # at the limit, as defined: dot / (norm * norm) of the original vectors
+        good[t] = float(x[t] @ y[t]) / (float(np.sqrt(x[t] @ x[t])) * float(np.sqrt(y[t] @ y[t]))) >= least
+    return good
+
+
+def _linked(x: _Tile, y: _Tile, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (row of x, row of y), some rows of x at a time; each pair once if y is x."""
+    space, crowded = np.empty(STRIP * WIDTH, np.float32), 0
+    for s in range(0, len(x.raw), STRIP):
+        rows = np.arange(s, min(s + STRIP, len(x.raw)))
+        start = s if x is y else 0
+        if x.first is not None and not crowded:
+            own, least_gap = x.first[rows[0] : rows[-1] + 1], np.full(len(rows), -2, np.float32)
+            for c in range(start, len(y.raw), WIDTH):
+                other = y.second[c : c + WIDTH]
+                gap = space[: len(own) * len(other)].reshape(len(own), -1)
+                np.matmul(own, other.T, out=gap)
+                if x is y and c == s:
+                    np.fill_diagonal(gap, -2)
+                np.maximum(least_gap, gap.max(axis=1), out=least_gap)
+            rows = rows[least_gap >= np.float32(least - 1) - x.margin]
+            crowded = 8 if 2 * len(rows) > STRIP else 0
+        crowded = max(0, crowded - 1)
+        if len(rows) == 0:
+            continue
+        dot = x.unit[rows] @ y.unit[start:].T
+        p, q = np.nonzero(dot >= np.float32(least) - x.margin)
+        sure = dot[p, q] > np.float32(least) + x.margin
+        p, q = rows[p], q + start
+        if x is y:
+            p, q, sure = (c[q > p] for c in (p, q, sure))
+        doubt = np.flatnonzero(~sure)
+        for d in range(0, len(doubt), 4096):
+            some = doubt[d : d + 4096]
+            sure[some] = _is_link(x.raw[p[some]], y.raw[q[some]], least)
+        if sure.any():
+            yield p[sure], q[sure]
+
+
+def _merge(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
+    """Links p, q put into root, which holds the least member of each one's group."""
+    while True:
+        a, b = root[p], root[q]
+        apart = a != b
+        if not apart.any():
+            return
+        p, q, a, b = (c[apart] for c in (p, q, a, b))
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (up := root[root]).tobytes() != root.tobytes():
+            root[:] = up
+
+
+def _sums(at: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(at, weights=values, minlength=size).astype(np.int64)
+
+
+class _Run:
+    """The nodes of a label in one tile, as they come in, sorted."""
+
+    def __init__(self, key: tuple):
+        self.key, self.parts = key, []
+
+    def add(self, *columns: np.ndarray) -> None:
+        self.parts.append(columns)
+
+    def add_to_last(self, copies: int, least: int, named: bool) -> None:
+        _, count, lowest, known, given, _ = self.parts[-1]
+        count[-1] += 0 if given[-1] else copies
+        lowest[-1], known[-1] = min(lowest[-1], least), known[-1] | named
+
+    def __len__(self) -> int:
+        return sum(len(part[0]) for part in self.parts)
+
+    def columns(self) -> list[np.ndarray]:
+        return [np.concatenate(c) for c in zip(*self.parts)]
+
+
+_NODES = ["node", "copies", "least", "others", "root", "head"]
+
+
+def _tile_type() -> T.StructType:
+    lists = [T.StructField(n, T.ArrayType(T.LongType())) for n in _NODES]
+    return T.StructType([T.StructField("tile", T.LongType()), T.StructField("label", T.StringType()), T.StructField("dims", T.IntegerType()), *lists, T.StructField("vectors", T.BinaryType())])
+
+
+def _packed(least: float, tile: int, tile_bytes: int):
+    """Rows sorted by label, dims, part and node, as tiles with the links inside them.
+
+    A tile of a large label keeps its label and vectors; others hold whole labels and are done.
+    """
+
+    def inside(run: _Run, rows: slice = slice(None)) -> list[np.ndarray]:
+        node, copies, lowest, known, _, raw = (c[rows] for c in run.columns())
+        others, root = np.zeros(len(node), np.int64), np.arange(len(node))
+        if len(node) > 1:
+            ready = _Tile(raw, least)
+            for p, q in _linked(ready, ready, least):
+                others += _sums(p, copies[q], len(node)) + _sums(q, copies[p], len(node))
+                _merge(root, p, q)
+        head, named = np.full(len(node), np.iinfo(np.int64).max), np.zeros(len(node), bool)
+        np.minimum.at(head, root[known], lowest[known])
+        named[root[known]] = True
+        return [node, copies, pa.array(lowest, mask=~known), others, node[root], pa.array(head[root], mask=~named[root]), raw]
+
+    def tile_of(runs: list[list], label: str | None, dims: int | None) -> pa.RecordBatch:
+        columns = [pa.concat_arrays([pa.array(run[i]) for run in runs]) for i in range(len(_NODES))]
+        vectors = None if label is None else np.ascontiguousarray(runs[0][-1]).tobytes()
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+        first = min(int(run[0].min()) for run in runs)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([first], pa.int64()), pa.array([label], pa.string()), pa.array([dims], pa.int32()), *lists, pa.array([vectors], pa.binary())],
+            names=_tile_type().names,
+        )
+
+    def ended(run: _Run | None, done: list[list]) -> Iterator[pa.RecordBatch]:
+        """After the last row of a run."""
+        if run is None:
+            return
+        label, dims, part = run.key
+        if part >= 0:
+            yield tile_of([inside(run)], label, dims)
+            return
+        done.append(inside(run)[:-1])
+        if sum(len(d[0]) for d in done) >= tile:
+            yield tile_of(done, None, None)
+            done.clear()
+
     def run(batches):
+        open_run, done = None, []
         for batch in batches:
-            label, node = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = batch.column(2).to_pylist()
-            by_dims: dict[int, list[int]] = {}
-            for i, v in enumerate(rows):
-                by_dims.setdefault(len(v), []).append(i)
-            for dims, own in by_dims.items():
-                vectors = np.array([rows[i] for i in own], np.float64)
-                turned = _unit(vectors) @ rotation(dims)
-                for k, (a, b) in enumerate(blocks_of(dims)):
-                    radius = np.sqrt((2 - 2 * least) * (b - a) / dims) + SLACK
-                    at = np.floor(turned[:, a : a + 2] / radius).astype(np.int64)
-                    y = at[:, 1] if at.shape[1] > 1 else np.zeros(len(own), np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([label[i] for i in own]), pa.array([dims] * len(own), pa.int32()), pa.array([k] * len(own), pa.int32()),
-                            pa.array(at[:, 0], pa.int32()), pa.array(y, pa.int32()), pa.array([node[i] for i in own], pa.int64()),
-                            pa.array([rows[i] for i in own], kind),
-                        ],
-                        names=_CELL.names,
-                    )
+            n = batch.num_rows
+            if n == 0:
+                continue
+            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            coded = column["label"].dictionary_encode()
+            labels, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+            dims, part, node = (column[c].to_numpy() for c in ("dims", "part", "node"))
+            known = column["vec_id"].is_valid().to_numpy(zero_copy_only=False)
+            lowest = column["vec_id"].fill_null(np.iinfo(np.int64).max).to_numpy()
+            given, copies = column["copies"].is_valid().to_numpy(zero_copy_only=False), column["copies"].fill_null(0).to_numpy()
+            at, values = _vectors(column["vector"])
+            flat = values.to_numpy(zero_copy_only=False)
+            key = lambda i: (labels[code[i]], int(dims[i]), int(part[i]))
+            turn = np.ones(n, bool)
+            turn[1:] = (code[1:] != code[:-1]) | (dims[1:] != dims[:-1]) | (part[1:] != part[:-1])
+            turn[0] = open_run is None or open_run.key != key(0)
+            fresh = turn.copy()
+            fresh[1:] |= node[1:] != node[:-1]
+            fresh[0] |= not turn[0] and open_run.parts[-1][0][-1] != node[0]
+            starts = np.flatnonzero(fresh)
+            head = int(starts[0]) if len(starts) else n
+            if head:
+                open_run.add_to_last(head, int(lowest[:head].min()), bool(known[:head].any()))
+            bounds = np.append(np.flatnonzero(turn), n)
+            if bounds[0] > head:
+                bounds = np.append(head, bounds)
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                if turn[a]:
+                    yield from ended(open_run, done)
+                    open_run = _Run(key(a))
+                s = starts[np.searchsorted(starts, a) : np.searchsorted(starts, b)]
+                count = np.where(given[s], copies[s], np.diff(np.append(s, b)))
+                raw = flat[at[a] : at[b]].reshape(b - a, -1)[s - a]
+                open_run.add(node[s], count, np.minimum.reduceat(lowest[:b], s), np.logical_or.reduceat(known[:b], s), given[s], raw)
+            label, size, place = open_run.key
+            most = tile_rows(size, tile, tile_bytes)
+            while place >= 0 and len(open_run) > 2 * most:
+                yield tile_of([inside(open_run, slice(0, most))], label, size)
+                rest = [c[most:] for c in open_run.columns()]
+                open_run.parts = [tuple(rest)]
+        yield from ended(open_run, done)
+        if done:
+            yield tile_of(done, None, None)
 
     return run
 
 
-_LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-
-
-def _joined(least: float):
-    """Links between the home rows and the visiting rows of a tile pair."""
-
-    def run(table: pa.Table) -> pa.Table:
-        dims, block = table.column("dims")[0].as_py(), table.column("block")[0].as_py()
-        node = table.column("node").to_numpy()
-        flat = table.column("vector").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, dims)
-        unit = _unit(flat)
-        turned = unit @ rotation(dims)
-        home, guest = (table.column(c).to_numpy(zero_copy_only=False) for c in ("home", "guest"))
-        ia, ib = np.flatnonzero(home), np.flatnonzero(guest)
-        budget = 2 - 2 * least
-        spans = blocks_of(dims)
-        share = [budget * (b - a) / dims + SLACK for a, b in spans]
-        inside = bool(table.column("inside")[0].as_py())
-        out_a, out_b = [], []
-        for s in range(0, len(ia), 512):
-            rows = ia[s : s + 512]
-            p, q = _near(turned[rows], turned[ib], spans[block], share[block])
-            i, j = rows[p], ib[q]
-            if inside:
-                keep = node[i] < node[j]
-                i, j = i[keep], j[keep]
-            # only in the first block that finds a pair
-            new = np.ones(len(i), bool)
-            for k in range(block):
-                a, b = spans[k]
-                gap = turned[i, a:b] - turned[j, a:b]
-                new &= (gap * gap).sum(axis=1) > share[k]
-            i, j = i[new], j[new]
-            dot = (unit[i] * unit[j]).sum(axis=1)
-            close = np.abs(dot - least) < 1e-9
-            good = dot >= least
-            for t in np.flatnonzero(close):  # at the limit, as defined: dot / (norm * norm) of the original vectors
-                x, y = flat[i[t]], flat[j[t]]
-                good[t] = float(x @ y) / (float(np.sqrt(x @ x)) * float(np.sqrt(y @ y))) >= least
-            out_a.append(node[i[good]])
-            out_b.append(node[j[good]])
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+def tiles(rows: DataFrame, keys: DataFrame, least: float = LEAST) -> DataFrame:
+    """All nodes of rows (vec_id, node, label, dims, cell, vector), in tiles with the links inside them. keys: rows without vector.
+
+    Per tile a list of its nodes, their copies, least vec_id, linked copies of others (``others``), local root
+    and its least vec_id (``head``); label and vectors if other tiles have nodes of that label.
+    """
+    usable, counts = (x.where(F.col("node").isNotNull()) for x in (rows, keys))
+    counts = counts.groupBy("node", "label", "dims", "cell").agg(F.count("*").alias("copies"), F.min("vec_id").alias("lowest"))
+    counts = written(counts)
+    most = F.greatest(F.lit(1), F.least(F.lit(TILE), F.floor(F.lit(TILE_BYTES) / (8 * F.col("dims")))))
+    large = counts.groupBy("label", "dims").agg(F.count("*").alias("size")).withColumn("most", most).where("size > most")
+    # so many signs that a cell is no more than about a tile
+    bits = F.least(F.lit(SIGNS), F.ceil(F.log2(F.col("size") / F.col("most"))) + 1).cast("int")
+    large = large.withColumn("bits", bits).select("label", "dims", "most", "bits")
+    cell = F.expr(f"shiftright(cell, {SIGNS} - bits)")
+    sizes = counts.join(F.broadcast(large), ["label", "dims"]).groupBy("label", "dims", "bits", "most", cell.alias("place")).agg(F.count("*").alias("size"))
+    upto = Window.partitionBy("label", "dims").orderBy("place")
+    sizes = written(sizes.withColumn("before", F.sum("size").over(upto) - F.col("size")))
+    large = sizes.select("label", "dims", "bits").distinct()
+    crowds = counts.where(F.col("copies") >= CROWD).select("node", "copies", "lowest")
+    dealt = usable.join(F.broadcast(large), ["label", "dims"], "left").withColumn("place", cell).join(
+        F.broadcast(sizes.drop("bits")), ["label", "dims", "place"], "left"
+    )
+    dealt = dealt.join(F.broadcast(crowds), "node", "left").where(F.col("lowest").isNull() | (F.col("vec_id") == F.col("lowest")))
+    # each cell is an interval of places in its label, each tile so many places
+    part = F.floor((F.col("before") + F.pmod("node", "size")) / F.col("most"))
+    dealt = dealt.select("label", "dims", F.coalesce(part, F.lit(-1)).cast("int").alias("part"), "node", "vec_id", "copies", "vector")
+    dealt = dealt.repartition("label", "dims", F.floor(F.col("part") / TOGETHER)).sortWithinPartitions("label", "dims", "part", "node")
+    packed = dealt.mapInArrow(_packed(least, TILE, TILE_BYTES), _tile_type())
+    packed = packed.withColumn("folder", F.when(F.col("label").isNull(), -1).otherwise(F.pmod(F.xxhash64("label", "dims"), F.lit(FOLDERS)).cast("int")))
+    path = shared_path(rows.sparkSession, "tiles")
+    packed.write.partitionBy("folder").parquet(path)
+    return rows.sparkSession.read.schema(packed.schema).parquet(path)
+
+
+_MET = T.StructType([T.StructField(n, T.ArrayType(T.LongType()) if n != "tile" else T.LongType()) for n in ("tile", "others", "a", "b")])
+
+
+def _meet(least: float, kind: str):
+    """Pairs of tiles: to each tile's nodes the linked copies found, and edges between local roots."""
+
+    class Side:
+        def __init__(self, row: dict, side: str):
+            get = lambda c: row[f"{side}_{c}"]
+            self.copies, self.root = get("copies"), get("root")
+            raw = np.frombuffer(get("vectors"), kind).reshape(-1, row["a_dims"])
+            self.tile, self.size = _Tile(raw.copy(), least), len(raw)
+            # the first node of a group is its root
+            _, first, group = np.unique(self.root, return_index=True, return_inverse=True)
+            self.group = first[group]
+
+    def run(batches):
+        ready: dict[int, Side] = {}
+        others: dict[int, np.ndarray] = {}
+        edges: list[np.ndarray] = []
+
+        def found(name: int, count: np.ndarray | None) -> pa.RecordBatch:
+            pairs = np.unique(np.concatenate(edges), axis=0) if edges else np.zeros((0, 2), np.int64)
+            edges.clear()
+            lists = [pa.array([x], pa.list_(pa.int64())) for x in (count, pairs[:, 0], pairs[:, 1])]
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *lists], names=_MET.names)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {}
+                for c, v in zip(batch.schema.names, batch.columns):
+                    row[c] = v[i].values.to_numpy() if pa.types.is_list(v.type) else v[i].as_buffer() if pa.types.is_binary(v.type) else v[i].as_py()
+                sides = []
+                for s in "ab":
+                    name = row[f"{s}_tile"]
+                    side = ready.get(name) or Side(row, s)
+                    if len(ready) < READY:
+                        ready[name] = side
+                    sides.append(side)
+                a, b = sides
+                root = np.concatenate([a.group, b.group + a.size])
+                for p, q in _linked(a.tile, b.tile, least):
+                    for name, side, own, far, there in ((row["a_tile"], a, p, q, b), (row["b_tile"], b, q, p, a)):
+                        if name not in others:
+                            others[name] = np.zeros(side.size, np.int64)
+                        others[name] += _sums(own, there.copies[far], side.size)
+                    _merge(root, p, q + a.size)
+                moved = np.flatnonzero(root != np.concatenate([a.group, b.group + a.size]))
+                if len(moved):
+                    ids = np.concatenate([a.root, b.root])
+                    edges.append(np.unique(np.stack([ids[moved], ids[root[moved]]], axis=1), axis=0))
+                if sum(map(len, edges)) > HELD:
+                    yield found(row["a_tile"], None)
+        for name, count in others.items():
+            yield found(name, count)
 
     return run
 
 
-def _near(x: np.ndarray, y: np.ndarray, span: tuple[int, int], share: float):
-    """Pairs of rows of x and y within ``share`` in the block (with a margin for rounding)."""
-    a, b = span
-    x, y = x[:, a:b], y[:, a:b]
-    gap = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * (x @ y.T)
-    p, q = np.nonzero(gap <= share + 1e-9)
-    exact = x[p] - y[q]
-    near = (exact * exact).sum(axis=1) <= share
-    return p[near], q[near]
-
-
-def links(nodes: DataFrame, least: float = LEAST) -> DataFrame:
-    """All pairs (a, b) of nodes (label, node, vector) of one label with a cosine of at least ``least``, once each."""
-    kind = nodes.schema["vector"].dataType
-    schema = T.StructType([*_CELL.fields[:-1], T.StructField("vector", kind)])
-    cells = written(nodes.select("label", "node", "vector").mapInArrow(_cells(least, to_arrow_type(kind)), schema))
-    key = ["label", "dims", "block", "x", "y"]
-    sizes = cells.groupBy(*key).agg(F.count("*").alias("n")).withColumn("tiles", F.ceil(F.col("n") / TILE)).drop("n")
-    tile = F.pmod(F.xxhash64("node"), F.col("tiles"))
-    placed = written(cells.join(sizes, key).withColumn("tile", tile))
-    # home: rows of the cell; guests: rows of the same cell (later tiles) and of the cells before it
-    moves = [(0, 0), (1, 0), (0, 1), (1, 1), (1, -1)]
-    guest = placed.withColumn("move", F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in moves])))
-    guest = guest.select(
-        "label", "dims", "block", (F.col("x") + F.col("move.dx")).alias("x"), (F.col("y") + F.col("move.dy")).alias("y"),
-        "node", "vector", F.col("tile").alias("from_tile"), ((F.col("move.dx") == 0) & (F.col("move.dy") == 0)).alias("same"),
-        F.concat_ws(",", "move.dx", "move.dy").alias("move"),
-    ).join(sizes, key)
-    to_tiles = F.explode(F.sequence(F.when(F.col("same"), F.col("from_tile")).otherwise(F.lit(0).cast("long")), F.col("tiles") - 1))
-    guest = guest.withColumn("tile", to_tiles)
-    meeting = [*key, "tile", "move", "from_tile"]
-    guest = guest.select(*meeting, "node", "vector", F.lit(False).alias("home"), F.lit(True).alias("guest"), F.lit(False).alias("inside"))
-    pairs = guest.select(*meeting).distinct()
-    home = placed.join(pairs, [*key, "tile"])
-    home = home.select(*meeting, "node", "vector", F.lit(True).alias("home"), F.lit(False).alias("guest"), F.lit(False).alias("inside"))
-    # inside one tile, a row is both
-    own = F.col("move") == "0,0"
-    both = own & (F.col("tile") == F.col("from_tile"))
-    home = home.withColumn("guest", both).withColumn("inside", both)
-    guest = guest.where(~both)
-    return written(home.unionByName(guest).groupBy(*meeting).applyInArrow(_joined(least), _LINK))
+def meetings(packed: DataFrame, kind: T.DataType, least: float = LEAST) -> DataFrame:
+    """What the tiles of a label find in each other: per tile (in each task that saw links) counts and edges of roots."""
+    spark, columns = packed.sparkSession, ["tile", "label", "copies", "root", "vectors"]
+    pairs = None
+    for (folder,) in packed.select("folder").distinct().where("folder >= 0").orderBy("folder").collect():
+        a, b = (packed.where(F.col("folder") == folder).select(*[F.col(c).alias(f"{s}_{c}") for c in ["dims", *columns]]) for s in "ab")
+        same = (F.col("a_label") == F.col("b_label")) & (F.col("a_dims") == F.col("b_dims")) & (F.col("a_tile") < F.col("b_tile"))
+        # a product of partitions has no exchange
+        found = a.hint("shuffle_replicate_nl").join(b, same).drop("a_label", "b_label", "b_dims")
+        pairs = found if pairs is None else pairs.unionByName(found)
+    if pairs is None:
+        return spark.createDataFrame([], _MET)
+    return written(pairs.mapInArrow(_meet(least, np.dtype(to_arrow_type(kind).to_pandas_dtype()).str), _MET))
+
+
+_STATE = T.StructType([T.StructField(n, T.LongType()) for n in ("node", "root", "head", "n_links")])
+
+
+def _added(tile: pa.Table, met: pa.Table) -> pa.Table:
+    """The nodes of a tile with what all meetings counted."""
+    node, copies, others, root, head = (tile.column(c).combine_chunks().values for c in ("node", "copies", "others", "root", "head"))
+    total = copies.to_numpy() - 1 + others.to_numpy()
+    for chunk in met.column("others").chunks:
+        total = total + chunk.values.to_numpy().reshape(-1, len(total)).sum(axis=0)
+    return pa.table([node, root, head, pa.array(total)], names=_STATE.names)
 
 
 def near_duplicates(vectors: DataFrame, least: float = LEAST, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """Per row of vectors: vec_id, n_links, component_id (smallest vec_id that links reach), kept."""
     named = vectors.select(F.col(key).cast("long").alias("vec_id"), as_numbers(vectors, vector).alias("vector"), F.col(label).cast("string").alias("label"))
-    node = F.when(F.col("label").isNotNull() & is_usable("vector"), F.xxhash64("label", "vector"))
-    rows = written(named.withColumn("node", node))
-    nodes = rows.where(F.col("node").isNotNull()).groupBy("node", "label", "vector")
-    nodes = written(nodes.agg(F.count("*").alias("copies"), F.min("vec_id").alias("least")))
-    found = links(nodes, least)
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = nodes.select(F.col("node").alias("b"), "copies")
-    degrees = both.join(copies, "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
-    state = nodes.select("node", "copies", "least").join(degrees, "node", "left").join(components(found), "node", "left")
-    state = state.withColumn("component", F.coalesce("component", "node"))
-    smallest = state.groupBy("component").agg(F.min("least").alias("component_id"))
-    state = written(
-        state.join(smallest, "component").select(
-            "node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"
-        )
-    )
-    out = rows.select("vec_id", "node").join(state, "node", "left")
+    schema = T.StructType([*named.schema, T.StructField("dims", T.IntegerType()), T.StructField("cell", T.IntegerType())])
+    celled = named.select("vec_id", "label", "vector").mapInArrow(_with_cells, T.StructType([schema[c] for c in ("vec_id", "label", "vector", "dims", "cell")]))
+    rows = celled.withColumn("node", F.when(F.col("vector").isNotNull(), F.xxhash64("label", "vector")))
+    keys = written(rows.drop("vector"))
+    packed = tiles(rows, keys, least)
+    links = F.transform(F.arrays_zip("copies", "others"), lambda x: x["copies"] - 1 + x["others"]).alias("n_links")
+    done = packed.where(F.col("label").isNull()).select("node", "root", "head", links)
+    done = done.select(F.inline(F.arrays_zip("node", "root", "head", "n_links")))
+    met = meetings(packed, named.schema["vector"].dataType.elementType, least)
+    open_tiles = packed.where(F.col("label").isNotNull()).select("tile", "node", "copies", "others", "root", "head")
+    added = open_tiles.groupBy("tile").cogroup(met.select("tile", "others").groupBy("tile")).applyInArrow(_added, _STATE)
+    state = written(done.unionByName(added))
+    edges = met.select(F.inline(F.arrays_zip("a", "b")))
+    linked = components(edges).withColumnRenamed("node", "root")
+    heads = state.where(F.col("node") == F.col("root")).select("root", "head")
+    linked = linked.join(heads, "root")
+    smallest = linked.groupBy("component").agg(F.min("head").alias("component_id"))
+    linked = linked.join(smallest, "component").select("root", "component_id")
+    state = state.join(linked, "root", "left").select("node", "n_links", F.coalesce("component_id", "head").alias("component_id"))
+    out = keys.select("vec_id", "node").join(state, "node", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("vec_id") == component).alias("kept")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -254,6 +255,63 @@ def test_vector_join_equals_brute_force(spark, monkeypatch, tile, kind):
     assert got == sorted((key, d, least[h], key == least[h]) for (key, _, _), d, h in zip(rows, degree, heads))
 
 
+def grouped_vectors():
+    """Vectors of 64 numbers: near copies of a few and unrelated ones, copies, one of them without vec_id."""
+    rng = np.random.default_rng(21)
+    rows = []
+    for label in "ab":
+        centres = rng.normal(size=(5, 64))
+        for i in range(300):
+            v = centres[i % 5] + rng.normal(size=64) * rng.choice([0.05, 0.27, 0.29, 0.4]) if i < 200 else rng.normal(size=64)
+            rows.append((len(rows), [float(np.float32(c)) for c in v], label))
+    rows += [(1000 + j, rows[j % 2 * 250][1], "a") for j in range(40)] + [(None, rows[250][1], "a"), (7, rows[7][1], "a")]
+    return rows + [(2000 + j, rows[j][1], "c") for j in range(3)]
+
+
+@pytest.mark.parametrize("crowd", [1000, 8])
+@pytest.mark.parametrize("tile", [8192, 40])
+def test_tiles_find_all_links(spark, monkeypatch, tile, crowd):
+    monkeypatch.setattr(near_vectors, "TILE", tile)
+    monkeypatch.setattr(near_vectors, "CROWD", crowd)
+    monkeypatch.setattr(near_vectors, "FOLDERS", 3)
+    assert near_vectors.filter_dims(64, 0.93) == 25
+    rows = grouped_vectors()
+    x, labels = np.array([v for _, v, _ in rows]), np.array([c for _, _, c in rows])
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    near = (x @ x.T >= 0.93) & (labels[:, None] == labels)
+    np.fill_diagonal(near, False)
+    heads, least = least_reachable(len(rows), [*zip(*np.nonzero(near))]), {}
+    for (key, _, _), h in zip(rows, heads):
+        least[h] = min(least.get(h, 10**6), 10**6 if key is None else key)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    got = sorted(map(tuple, near_vectors.near_duplicates(df).collect()), key=str)
+    want = [(key, int(d), least[h], None if key is None else key == least[h]) for (key, _, _), d, h in zip(rows, near.sum(axis=1), heads)]
+    assert got == sorted(want, key=str)
+
+
+def test_vector_join_stores_vectors_once_and_no_links(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "TILE", 1024)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 64))
+    x[:2000] = x[0] + 0.1 * rng.normal(size=(2000, 64))
+    ids = rng.permutation(6000)
+    df = spark.createDataFrame([(int(i), list(map(float, x[i])), 1) for i in ids], "vec_id long, embedding array<float>, label int")
+    folder = common.shared_folder(spark).removeprefix("file:")
+    size = lambda: sum(p.stat().st_size for p in Path(folder).rglob("*.parquet"))
+    before = size()
+    got = near_vectors.near_duplicates(df)
+    assert size() - before < 2 * x.size * 4
+    got = {r.vec_id: (r.n_links, r.component_id) for r in got.collect()}
+    assert got == {i: (1999, 0) if i < 2000 else (0, i) for i in range(6000)}
+
+
+def test_equal_vectors_have_equal_signs():
+    x = np.random.default_rng(5).normal(size=(100, 64))
+    one_by_one = np.concatenate([near_vectors._signs(x[i : i + 1]) for i in range(100)])
+    assert (near_vectors._signs(x) == one_by_one).all() and (near_vectors._signs(x[::-1])[::-1] == one_by_one).all()
+    assert len(set(one_by_one.tolist())) > 50
+
+
 def test_index_recall_and_exact_distances(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(12, 16))

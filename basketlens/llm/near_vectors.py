@@ -1,10 +1,10 @@
 """Embedding near-dedup: exact pairs within labels, from tiles that are compared where they lie.
 
-Unit vectors are at a cosine of at least ``least`` when their squared distance is at most
-2 - 2 * least, and their distance in any subspace is no larger. So a pair is first compared
-in the first few dimensions after a random rotation (single precision, with a margin for
-rounding); rows that may have a partner there are compared in all dimensions, and pairs
-near the limit on the original vectors in double precision.
+The cosine of two vectors is the product of their unit vectors: that in some dimensions after
+a random rotation, and in the others at most the product of the lengths there. This bound
+takes few dimensions (single precision, with a margin for rounding). Pairs that may reach
+``least`` by it are compared in all dimensions, and those near the limit on the original
+vectors in double precision.
 
 Equal vectors of a label are one node with a count, so copies cost nothing. The vectors are
 exchanged once, to tiles of about TILE nodes of one label (by the signs of a few rotated
@@ -42,8 +42,8 @@ from basketlens.llm.graph import components
 
 LEAST = 0.93
 #: Nodes of a tile, and their bytes in double precision.
-TILE = 8192
-TILE_BYTES = 4 << 20
+TILE = 4096
+TILE_BYTES = 2 << 20
 #: Of a vector with so many rows, one row goes to its tile.
 CROWD = 1000
 #: Rotated dimensions whose signs order the nodes of a label.
@@ -51,11 +51,13 @@ SIGNS = 12
 #: Rows of a tile that are compared with so many columns of the other at a time.
 STRIP, WIDTH = 256, 2048
 #: Tiles that a task keeps prepared.
-READY = 16
+READY = 24
 #: Labels are dealt into so many folders of tiles, and neighbouring tiles written together.
 FOLDERS, TOGETHER = 32, 4
 #: Edges that a task holds back.
 HELD = 1 << 18
+#: Bytes sent to a worker at a time where rows are tiles.
+BATCH = "16m"
 
 
 @functools.lru_cache(maxsize=8)
@@ -65,8 +67,8 @@ def subspace(dims: int, kept: int) -> np.ndarray:
 
 
 def filter_dims(dims: int, least: float) -> int:
-    """Dimensions of the first comparison; 0: all at once. Vectors without direction are seldom near in as many."""
-    kept = int(np.ceil((2 - 2 * least) * dims)) + 16
+    """Dimensions of the first comparison; 0: all at once. Of unrelated vectors about one pair in 100,000 passes as many."""
+    kept = int(np.ceil((2 - 2 * least) * dims)) + 13
     return kept if kept <= dims // 2 else 0
 
 
@@ -150,10 +152,9 @@ class _Tile:
         self.margin = np.float32((dims + 8) * 2.0**-22)
         self.first = None
         if kept := filter_dims(dims, least):
-            near = (unit @ subspace(dims, kept)).astype(np.float32)
-            half, one = -(near * near).sum(axis=1, keepdims=True) / 2, np.ones((len(raw), 1), np.float32)
-            # the product of a row of the one and a row of the other is minus half their squared distance
-            self.first, self.second = np.hstack([near, half, one]), np.hstack([near, one, half])
+            near = unit @ subspace(dims, kept)
+            rest = np.sqrt(np.maximum(1 - (near * near).sum(axis=1, keepdims=True), 0))
+            self.first = np.hstack([near, rest]).astype(np.float32)
 
 
 def _is_link(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
@@ -167,37 +168,40 @@ def _is_link(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
 
 
 def _linked(x: _Tile, y: _Tile, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links (row of x, row of y), some rows of x at a time; each pair once if y is x."""
+    """Links (row of x, row of y), some of them at a time; each pair once if y is x."""
+    floor, sure_from = np.float32(least) - x.margin, np.float32(least) + x.margin
     space, crowded = np.empty(STRIP * WIDTH, np.float32), 0
     for s in range(0, len(x.raw), STRIP):
-        rows = np.arange(s, min(s + STRIP, len(x.raw)))
-        start = s if x is y else 0
-        if x.first is not None and not crowded:
-            own, least_gap = x.first[rows[0] : rows[-1] + 1], np.full(len(rows), -2, np.float32)
-            for c in range(start, len(y.raw), WIDTH):
-                other = y.second[c : c + WIDTH]
-                gap = space[: len(own) * len(other)].reshape(len(own), -1)
-                np.matmul(own, other.T, out=gap)
+        own = slice(s, min(s + STRIP, len(x.raw)))
+        for c in range(s if x is y else 0, len(y.raw), WIDTH):
+            other, rows, p = slice(c, min(c + WIDTH, len(y.raw))), np.arange(own.start, own.stop), None
+            if x.first is not None and not crowded:
+                most = space[: len(rows) * (other.stop - c)].reshape(len(rows), -1)
+                np.matmul(x.first[own], y.first[other].T, out=most)
                 if x is y and c == s:
-                    np.fill_diagonal(gap, -2)
-                np.maximum(least_gap, gap.max(axis=1), out=least_gap)
-            rows = rows[least_gap >= np.float32(least - 1) - x.margin]
-            crowded = 8 if 2 * len(rows) > STRIP else 0
-        crowded = max(0, crowded - 1)
-        if len(rows) == 0:
-            continue
-        dot = x.unit[rows] @ y.unit[start:].T
-        p, q = np.nonzero(dot >= np.float32(least) - x.margin)
-        sure = dot[p, q] > np.float32(least) + x.margin
-        p, q = rows[p], q + start
-        if x is y:
-            p, q, sure = (c[q > p] for c in (p, q, sure))
-        doubt = np.flatnonzero(~sure)
-        for d in range(0, len(doubt), 4096):
-            some = doubt[d : d + 4096]
-            sure[some] = _is_link(x.raw[p[some]], y.raw[q[some]], least)
-        if sure.any():
-            yield p[sure], q[sure]
+                    np.fill_diagonal(most, -2)
+                hit = np.flatnonzero(most.max(axis=1) >= floor)
+                crowded = 8 if 2 * len(hit) > STRIP else 0
+                if len(hit) == 0:
+                    continue
+                rows = rows[hit]
+                p, q = np.nonzero(most[hit] >= floor)
+            crowded = max(0, crowded - 1)
+            if p is not None and len(p) < 64 * len(rows):
+                dot = np.einsum("ij,ij->i", x.unit[rows[p]], y.unit[other][q])
+            else:
+                whole = x.unit[rows] @ y.unit[other].T
+                p, q = np.nonzero(whole >= floor)
+                dot = whole[p, q]
+            p, q = rows[p], q + c
+            near = dot >= floor if x is not y else (dot >= floor) & (q > p)
+            p, q, sure = p[near], q[near], dot[near] > sure_from
+            doubt = np.flatnonzero(~sure)
+            for d in range(0, len(doubt), 4096):
+                some = doubt[d : d + 4096]
+                sure[some] = _is_link(x.raw[p[some]], y.raw[q[some]], least)
+            if sure.any():
+                yield p[sure], q[sure]
 
 
 def _merge(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> None:
@@ -444,7 +448,14 @@ def meetings(packed: DataFrame, kind: T.DataType, least: float = LEAST) -> DataF
         pairs = found if pairs is None else pairs.unionByName(found)
     if pairs is None:
         return spark.createDataFrame([], _MET)
-    return written(pairs.mapInArrow(_meet(least, np.dtype(to_arrow_type(kind).to_pandas_dtype()).str), _MET))
+    met = pairs.mapInArrow(_meet(least, np.dtype(to_arrow_type(kind).to_pandas_dtype()).str), _MET)
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    usual = spark.conf.get(limit, None)
+    spark.conf.set(limit, BATCH)
+    try:
+        return written(met)
+    finally:
+        spark.conf.unset(limit) if usual is None else spark.conf.set(limit, usual)
 
 
 _STATE = T.StructType([T.StructField(n, T.LongType()) for n in ("node", "root", "head", "n_links")])

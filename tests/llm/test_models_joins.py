@@ -274,7 +274,7 @@ def test_tiles_find_all_links(spark, monkeypatch, tile, crowd):
     monkeypatch.setattr(near_vectors, "TILE", tile)
     monkeypatch.setattr(near_vectors, "CROWD", crowd)
     monkeypatch.setattr(near_vectors, "FOLDERS", 3)
-    assert near_vectors.filter_dims(64, 0.93) == 25
+    assert near_vectors.filter_dims(64, 0.93) == 22
     rows = grouped_vectors()
     x, labels = np.array([v for _, v, _ in rows]), np.array([c for _, _, c in rows])
     x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
